@@ -47,12 +47,3 @@ def clamp(value: Column | str, low: float, high: float) -> Column:
     checked = col(value)
     return F.when(checked.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), checked)))
 
-
-def any_true(condition: Column) -> Column:
-    """False, not NULL, over an empty group."""
-    return F.coalesce(F.bool_or(condition), F.lit(False))
-
-
-def all_true(condition: Column) -> Column:
-    """False, not NULL, over an empty group; rows where it is NULL are skipped."""
-    return F.coalesce(F.bool_and(condition), F.lit(False))

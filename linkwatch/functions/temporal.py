@@ -122,19 +122,46 @@ class Cadence:
         return us + F.pmod(-us, F.lit(self.step_us))
 
 
-def tick_spine(bounds: DataFrame, cadence: Cadence) -> DataFrame:
-    """Every tick between ``first_tick`` and ``last_tick`` (epoch microseconds).
+def explode_ticks(df: DataFrame, first: Column, last: Column, step_us: int) -> DataFrame:
+    """Copy each row to every tick from ``first`` to ``last`` as ``tick_us``.
 
-    ``bounds`` has one row.  It is unfolded to days first and the days are
-    spread over the cluster before each is unfolded to ticks.
+    Unfolds a day at a time, so no array grows with the length of the range;
+    rows with ``first > last`` yield nothing.
     """
-    step = cadence.step_us
-    day = max(86_400 * MICROS // step, 1) * step
-    days = bounds.where(F.col("first_tick") <= F.col("last_tick")).select(
-        "last_tick",
-        F.explode(F.sequence(F.col("first_tick"), F.col("last_tick"), F.lit(day))).alias("chunk"),
-    )
-    last = F.least(F.col("last_tick"), F.col("chunk") + F.lit(day - step))
-    return days.repartition("chunk").select(
-        F.explode(F.sequence(F.col("chunk"), last, F.lit(step))).alias("tick_us")
-    )
+    day = max(86_400 * MICROS // step_us, 1) * step_us
+    none = F.array().cast("array<bigint>")
+
+    def run(start: Column, end: Column, by: int) -> Column:
+        return F.when(start <= end, F.sequence(start, end, F.lit(by))).otherwise(none)
+
+    days = df.withColumns({"_last": last, "_day": F.explode(run(first, last, day))})
+    stop = F.least(F.col("_last"), F.col("_day") + F.lit(day - step_us))
+    return days.withColumn(
+        "tick_us", F.explode(F.sequence(F.col("_day"), stop, F.lit(step_us)))
+    ).drop("_last", "_day")
+
+
+@dataclass(frozen=True)
+class TickSpan:
+    """First and last evaluation tick, in epoch microseconds."""
+
+    first: Column
+    last: Column
+
+    @classmethod
+    def between(cls, start: dt.datetime, end: dt.datetime, cadence: Cadence) -> TickSpan:
+        step = cadence.step_us
+        zero = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+        one = dt.timedelta(microseconds=1)
+        first = -(-((start - zero) // one) // step) * step
+        last = ((end - zero) // one) // step * step
+        return cls(F.lit(first), F.lit(last))
+
+    @classmethod
+    def covering(cls, rows: DataFrame, time_column: str, cadence: Cadence) -> TickSpan:
+        """Ticks from the first row's to the last row's, as scalar subqueries."""
+        bounds = rows.agg(
+            cadence.tick_at_or_after(F.min(time_column)).alias("first"),
+            cadence.tick_at_or_after(F.max(time_column)).alias("last"),
+        )
+        return cls(bounds.select("first").scalar(), bounds.select("last").scalar())

@@ -85,18 +85,19 @@ def first_arrivals(records: DataFrame, id_column: str = "event_id") -> DataFrame
 def dedup_events(incoming: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Mark which rows a log unique on event id and on coordinates would take.
 
+    ``incoming`` holds each coordinate once (see ``collapse_redeliveries``).
     ``existing`` holds the log's ``event_id`` and coordinates.  It is consulted
-    for the winners only; the mark goes back by coordinates, which are unique,
-    so no join key is hot.
+    for the winners only; the mark goes back by coordinates, so no join key is
+    hot and the collapsed rows keep their partitioning.
     """
     winners = first_arrivals(incoming)
     if existing is not None:
         winners = winners.join(existing.select("event_id"), "event_id", "left_anti").join(
             existing.select(*COORDINATES), list(COORDINATES), "left_anti"
         )
-    marks = winners.withColumn("_first", F.lit(True))
+    marks = winners.select(*COORDINATES, F.lit(True).alias("_first"))
     return (
-        incoming.join(marks, ["event_id", *COORDINATES], "left")
+        incoming.join(marks, list(COORDINATES), "left")
         .withColumn("inserted", F.coalesce("_first", F.lit(False)))
         .drop("_first")
     )
