@@ -31,17 +31,28 @@ def broken(rules: Sequence[Rule]) -> Column:
     return F.filter(marks, lambda name: name.isNotNull())
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters and projections read instead of repeat.
+
+    A filter is pushed through a projection by copying its expressions, so a
+    filter on the rule array would decode the payload once per rule.  Filters
+    do not pass a generator; exploding an array of one keeps rows as they are.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Kafka records with the payload decoded into ``event``."""
-    return records.select(
+    """Kafka records with the payload decoded into ``event``, once."""
+    rows = records.select(
         F.col("topic").alias("source_topic"),
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("key").cast("string").alias("source_key"),
         F.col("value").alias("original_payload"),
-        F.from_json(F.col("value").cast("string"), schema, JSON_OPTIONS).alias("event"),
     )
+    text = F.col("original_payload").cast("string")
+    return computed_once(rows, "event", F.from_json(text, schema, JSON_OPTIONS))
 
 
 def _field(name: str) -> Column:
@@ -96,9 +107,8 @@ def stream_rules(null_semantics: str = "strict") -> list[Rule]:
 
 
 def checked_measurements(records: DataFrame, null_semantics: str = "strict") -> DataFrame:
-    return parse(records, S.measurement_schema()).withColumn(
-        "validation_errors", broken(stream_rules(null_semantics))
-    )
+    parsed = parse(records, S.measurement_schema())
+    return computed_once(parsed, "validation_errors", broken(stream_rules(null_semantics)))
 
 
 def accepted(checked: DataFrame, now=None) -> DataFrame:
@@ -349,9 +359,8 @@ def contract_errors() -> Column:
 
 
 def checked_contract(records: DataFrame) -> DataFrame:
-    return parse(records, S.contract_schema()).withColumn(
-        "validation_errors", contract_errors()
-    )
+    parsed = parse(records, S.contract_schema())
+    return computed_once(parsed, "validation_errors", contract_errors())
 
 
 # --- validator over the decoded mapping --------------------------------------
