@@ -730,8 +730,8 @@ def incident_summary(spark, folder):
 @query(
     "agent_status",
     f"""SELECT a.agent_id, a.agent_role, a.display_name, a.enabled, {ts('h.event_time')} AS last_heartbeat_at,
-  greatest(0, (epoch_us({NOW_SQL}) - epoch_us(h.event_time)) / 1e6) AS heartbeat_age_seconds,
-  h.local_queue_depth, CAST(coalesce(h.n_errors, 0) AS INTEGER) AS collection_error_count
+  CASE WHEN h.event_time IS NOT NULL THEN greatest(0, (epoch_us({NOW_SQL}) - epoch_us(h.event_time)) / 1e6) END
+    AS heartbeat_age_seconds, h.local_queue_depth, CAST(coalesce(h.n_errors, 0) AS INTEGER) AS collection_error_count
 FROM agents a LEFT JOIN (SELECT * FROM heartbeats
   QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY event_time DESC, event_id DESC) = 1) h
   ON h.agent_id = a.agent_id""",

@@ -327,7 +327,7 @@ def rules(cfg: S.Thresholds) -> dict[str, str]:
     100.0 * CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) / COUNT(*) AS success_rate_pct,
     MAX(latency_ms) AS peak_latency_ms, {emean('packet_loss_pct')} AS mean_packet_loss_pct,
     MIN(signal_dbm) AS weakest_signal_dbm,
-    100.0 * CAST(COUNT(*) FILTER (WHERE connected) AS DOUBLE) / COUNT(connected) AS connected_rate_pct
+    100.0 * CAST(COUNT(*) FILTER (WHERE connected) AS DOUBLE) / NULLIF(COUNT(connected), 0) AS connected_rate_pct
   FROM (SELECT *, unnest(generate_series(
           (epoch_us(event_time) + {step * 1000000 - 1}) // {step * 1000000},
           (epoch_us(event_time) + {look * 1000000 - 1}) // {step * 1000000})) AS tick_no FROM observations) o
@@ -410,9 +410,9 @@ def rules(cfg: S.Thresholds) -> dict[str, str]:
     'Agent ' || agent_id || ' stopped reporting while another agent remained current.' AS summary
   FROM latest_heartbeats h
     JOIN (SELECT DISTINCT site_id, tick FROM latest_heartbeats
-          WHERE epoch_us(tick) - epoch_us(last_event_time) <= {stale} * 1000000) r
+          WHERE epoch_us(tick) - epoch_us(last_event_time) <= {stale * 1000000}) r
       ON r.site_id = h.site_id AND r.tick = h.tick
-  WHERE last_event_time IS NULL OR epoch_us(h.tick) - epoch_us(last_event_time) > {stale} * 1000000""",
+  WHERE last_event_time IS NULL OR epoch_us(h.tick) - epoch_us(last_event_time) > {stale * 1000000}""",
         "findings": "SELECT * FROM network_findings UNION ALL SELECT * FROM offline",
     }
 

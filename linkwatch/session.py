@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # percentile buffers are small until a group is large; allow more of them
     # per task before the object-hash aggregate falls back to sorting
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # inferring filters from long CASE cascades takes the optimizer exponential
+    # time; the jobs state the filters they want on every side themselves
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
