@@ -117,7 +117,9 @@ def classify_outcome(checked: DataFrame, existing: DataFrame | None = None) -> D
             F.col("event.agent_id").alias("agent_id"),
             (F.size("validation_errors") == 0).alias("sound"),
         )
-    )
+        # always true; keeps the count in every branch below, so that they read
+        # one shuffle instead of decoding the records again
+    ).where(F.col("deliveries") > 0)
     marked = dedup_events(rows.where("sound"), existing)
     sound = marked.withColumn(
         "outcome", F.when(F.col("inserted"), F.lit("valid")).otherwise(F.lit("duplicate"))

@@ -164,7 +164,7 @@ def sustained(
     inside = Window.partitionBy(*keys, "day").orderBy("at")
     pieces = (
         true_rows.withColumn("n", F.row_number().over(inside))
-        .withColumn("run", F.col("at") - F.col("n") * F.lit(step_us))
+        .withColumn("run", F.col("at") - F.col("n").cast("bigint") * F.lit(step_us))
         .groupBy(*keys, "day", "run")
         .agg(F.min("at").alias("a"), F.max("at").alias("b"), F.count(F.lit(1)).alias("n"))
     )

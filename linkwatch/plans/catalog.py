@@ -1248,13 +1248,13 @@ def identifier_privacy(spark, folder):
 _PING_TEXT = """'PING target: ' || CASE k % 4 WHEN 0 THEN '4 packets transmitted, 4 received, 0% packet loss, time 3004ms'
     WHEN 1 THEN '4 packets transmitted, 3 received, 25.5% packet loss, time 3004ms'
     WHEN 2 THEN '4 packets transmitted, 0 received, 100% packet loss' ELSE 'unknown host' END
-  || CASE WHEN k % 4 < 2 AND k % 7 <> 0 THEN chr(10) || 'rtt min/avg/max/mdev = ' || CAST(k AS VARCHAR) || '.1/'
-    || CAST(k + 1 AS VARCHAR) || '.25/' || CAST(k + 2 AS VARCHAR) || '.5/0.75 ms' ELSE '' END"""
-_WIFI_TEXT = """CASE WHEN k % 5 = 0 THEN 'Not connected.' ELSE 'Connected to AA:BB:CC:DD:EE:' || lpad(CAST(k AS VARCHAR), 2, '0')
-  || ' (on wlan0)' || chr(10) || chr(9) || 'SSID: home net ' || CAST(k AS VARCHAR) || chr(10) || chr(9) || 'freq: '
-  || CAST(2400 + k AS VARCHAR) || chr(10)
-  || CASE WHEN k % 3 = 0 THEN '' ELSE chr(9) || 'signal: -' || CAST(k AS VARCHAR) || ' dBm' || chr(10) END || chr(9)
-  || 'tx bitrate: ' || CAST(k AS VARCHAR) || '.5 MBit/s' END"""
+  || CASE WHEN k % 4 < 2 AND k % 7 <> 0 THEN chr(10) || 'rtt min/avg/max/mdev = ' || CAST(k AS STRING) || '.1/'
+    || CAST(k + 1 AS STRING) || '.25/' || CAST(k + 2 AS STRING) || '.5/0.75 ms' ELSE '' END"""
+_WIFI_TEXT = """CASE WHEN k % 5 = 0 THEN 'Not connected.' ELSE 'Connected to AA:BB:CC:DD:EE:' || lpad(CAST(k AS STRING), 2, '0')
+  || ' (on wlan0)' || chr(10) || chr(9) || 'SSID: home net ' || CAST(k AS STRING) || chr(10) || chr(9) || 'freq: '
+  || CAST(2400 + k AS STRING) || chr(10)
+  || CASE WHEN k % 3 = 0 THEN '' ELSE chr(9) || 'signal: -' || CAST(k AS STRING) || ' dBm' || chr(10) END || chr(9)
+  || 'tx bitrate: ' || CAST(k AS STRING) || '.5 MBit/s' END"""
 
 
 @query(
@@ -1366,7 +1366,8 @@ _SLO_PARTS = {
 
 def _ratios(spark, t: Telemetry) -> DataFrame:
     log = _outcome_log(t)
-    span = TickSpan.covering(log, "ts", SLO_CADENCE)
+    # every record has an outcome, so the records' own times give the span
+    span = TickSpan.covering(t.kafka, "timestamp", SLO_CADENCE)
     counts = K.on_spine(
         K.success_counts(log, SLO_CADENCE), spark, span, SLO_CADENCE, ("good", "total")
     )

@@ -31,11 +31,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Settings only a new session takes: recording a Python call site for every
+# column expression is a round trip each, and rule tables have hundreds.
+STARTUP_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app: str = "linkwatch", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**STARTUP_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
