@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from linkwatch import schemas as S
 from linkwatch.operators import exports as X
+from linkwatch.operators.validate import computed_once
 from linkwatch.sources import files
 
 METRIC_KEYS = (
@@ -177,13 +178,14 @@ def publish_csv(datasets: dict[str, DataFrame], out: str) -> None:
         files.delete(spark, staged)
 
 
-def read_csv(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """An extract as text columns, with lines of another width set aside."""
-    schema = ", ".join([f"{c} string" for c in X.DATASETS[name]] + ["_bad string"])
-    return (
-        spark.read.schema(schema)
-        .options(header=True, columnNameOfCorruptRecord="_bad", columnPruning=False)
-        .csv(f"{out}/{name}")
+def csv_lines(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Data lines of an extract, each marked when it has another width."""
+    columns = X.DATASETS[name]
+    schema = ", ".join([f"{c} string" for c in columns] + ["_bad string"])
+    lines = spark.read.text(f"{out}/{name}").where(F.col("value") != ",".join(columns))
+    parsed = F.from_csv("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    return computed_once(lines, "row", parsed).select(
+        "value", F.col("row._bad").isNotNull().alias("bad")
     )
 
 
@@ -197,10 +199,8 @@ def verify_csv(spark: SparkSession, out: str) -> DataFrame:
     result = None
     for name in sorted(X.DATASETS):
         header = spark.read.csv(f"{out}/{name}", header=True).columns
-        rows = read_csv(spark, out, name)
-        counted = rows.agg(
-            F.count(F.coalesce(F.col(X.DATASETS[name][0]), F.lit(""))).alias("row_count"),
-            F.count("_bad").alias("bad"),
+        counted = csv_lines(spark, out, name).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count(F.when(F.col("bad"), 1)).alias("bad")
         )
         n = F.col("row_count")
         problem = F.when(F.lit(tuple(header) != X.DATASETS[name]), F.lit("unexpected header")).when(
