@@ -160,4 +160,4 @@ class DailyRun:
             **outcome,
         }
         row = self.spark.createDataFrame([tuple(values.get(n) for n in names)], EVENT_SCHEMA)
-        row.write.parquet(f"{path}/event={seq}")
+        row.write.parquet(f"{path}/step={seq}")
