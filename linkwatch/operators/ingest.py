@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,8 +198,13 @@ def republished(checked: DataFrame) -> DataFrame:
     return keyed_json(flat, S.VALID_TOPIC, "agent_id", names)
 
 
-def dead_letters(checked: DataFrame, now=None, prefix: str = "linkwatch-dead-letter") -> DataFrame:
-    """Dead-letter records; the id follows from the coordinates, so a replay repeats it."""
+def dead_letters(
+    checked: DataFrame, now=None, prefix: str = "linkwatch-dead-letter", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Dead-letter records; the id follows from the coordinates, so a replay repeats it.
+
+    ``keep`` names further columns of the input to carry along.
+    """
     at = F.current_timestamp() if now is None else clock(now)
     name = F.concat_ws(":", F.lit(prefix), *COORDINATES)
     return checked.where(F.size("validation_errors") > 0).select(
@@ -211,12 +218,24 @@ def dead_letters(checked: DataFrame, now=None, prefix: str = "linkwatch-dead-let
         "validation_errors",
         F.col("original_payload").cast("string").alias("original_payload"),
         "source_key",
+        *keep,
     )
 
 
+# The fields of a published dead letter.
+DEAD_LETTER_FIELDS = (
+    "dead_letter_id",
+    "failed_time",
+    *COORDINATES,
+    "error_class",
+    "error_message",
+    "validation_errors",
+    "original_payload",
+)
+
+
 def dead_letter_messages(letters: DataFrame) -> DataFrame:
-    body = [c for c in letters.columns if c != "source_key"]
-    return keyed_json(letters, S.DEAD_LETTER_TOPIC, "source_key", body)
+    return keyed_json(letters, S.DEAD_LETTER_TOPIC, "source_key", DEAD_LETTER_FIELDS)
 
 
 def merge_failures(existing: DataFrame | None, new: DataFrame) -> DataFrame:

@@ -321,13 +321,10 @@ def dead_letters(spark, folder):
 
 def _failure_ledger(t: Telemetry) -> DataFrame:
     """First attempts, and a second one an hour later at even offsets."""
-    referenced = _referenced(t)
-    letters = I.dead_letters(referenced, now=NOW)
-    stamps = referenced.select(*I.COORDINATES, "kafka_timestamp")
-    rows = letters.join(stamps, list(I.COORDINATES))
-    first = I.fresh_failures(rows, F.col("kafka_timestamp"))
+    letters = I.dead_letters(_referenced(t), now=NOW, keep=("kafka_timestamp",))
+    first = I.fresh_failures(letters, F.col("kafka_timestamp"))
     again = I.fresh_failures(
-        rows.where(F.col("source_offset") % 2 == 0).withColumn(
+        letters.where(F.col("source_offset") % 2 == 0).withColumn(
             "error_message", F.concat(F.lit("retried: "), F.col("error_message"))
         ),
         F.col("kafka_timestamp") + F.expr("INTERVAL 1 HOUR"),

@@ -23,6 +23,7 @@ RUNTIME_CONF = {
 }
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -58,9 +59,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set(_CHECKPOINT_CONF, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
