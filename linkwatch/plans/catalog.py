@@ -20,7 +20,7 @@ from linkwatch.functions.probes import (
     utilization,
     wifi_fields,
 )
-from linkwatch.functions.temporal import Cadence, TickSpan, timestamp_of, utc_text
+from linkwatch.functions.temporal import Cadence, TickSpan, timestamp_of
 from linkwatch.operators import daily as D
 from linkwatch.operators import exports as X
 from linkwatch.operators import ingest as I
@@ -36,7 +36,7 @@ from linkwatch.operators.windows import window_metrics
 from linkwatch.plans import oracle as O
 from linkwatch.plans.oracle import day, ts
 from linkwatch.session import configure, scratch_path
-from linkwatch.sources import files, sinks
+from linkwatch.sources import sinks
 from linkwatch.sources.tables import table
 from linkwatch.sources.telemetry import Telemetry
 
