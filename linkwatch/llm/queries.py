@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from linkwatch.llm.chat_format import digests, formatted
 from linkwatch.llm.common import table
 from linkwatch.llm.packing import Capacities, pack_documents
+from linkwatch.llm.quality_rules import base_failed, quality_verdicts
 from linkwatch.llm.token_files import read_token_files, write_token_files
 from linkwatch.llm.tokens import default_tokenizer
 from linkwatch.session import scratch_path
@@ -20,6 +23,42 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), default_tokenizer(), END_ID, SEQUENCE)
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    labels = table(spark, folder, "labels")
+    # texts are not needed beside the counts
+    rows = quality_verdicts(docs, labels, carried=("doc_id",))
+    m = F.col(rows.columns[-2])
+    return rows.select(
+        "doc_id",
+        *[
+            m[c].alias(c)
+            for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        ],
+        base_failed(m).alias("base_failed"),
+        F.col(rows.columns[-1]).alias("kept"),
+    )
+
+
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # every row is a message of its own, also one that repeats another
+    events = rows.unionByName(planted).select(
+        "conv_id",
+        F.col("turn").alias("seq"),
+        F.lit("message").alias("kind"),
+        F.monotonically_increasing_id().alias("message"),
+        "role",
+        "text",
+    )
+    return digests(formatted(events))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     where = scratch_path(spark, "token-files")
     docs = table(spark, folder, "documents")
@@ -29,6 +68,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_chat_format": op9_chat_format,
     "op10_token_files": op10_token_files,
 }
 
