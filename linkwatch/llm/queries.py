@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from linkwatch.llm.chat_format import digests, formatted
 from linkwatch.llm.common import table
+from linkwatch.llm.compression_classifier import bucket, fitted, scored
+from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
 from linkwatch.llm.quality_rules import base_failed, quality_verdicts
 from linkwatch.llm.token_files import read_token_files, write_token_files
@@ -19,6 +21,11 @@ END_ID = 2
 SEQUENCE = Capacities(tokens=1024)
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return scanned(docs, document_frequencies(docs))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), default_tokenizer(), END_ID, SEQUENCE)
 
@@ -40,6 +47,17 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_compression_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fitted(docs, table(spark, folder, "labels"))
+    return scored(docs, model).select(
+        "doc_id",
+        (bucket(F.col("doc_id")) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame(
@@ -67,10 +85,32 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_license_scan": op4_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_compression_classifier": op8_compression_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+# The marks of a turn and their two blanks have 17, 15 and 14 characters.
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *,
+    regexp_replace(text, '(</?s>|<</?SYS>>|\[/?INST\]|\[ANSWER\]|\[ROLE:[^\]\s]*\]|\[/ROLE\])', '\\\1', 'g') AS body,
+    CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 14 END AS frame
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, body)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(body) + frame) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op9_chat_format": CHAT_SQL}
