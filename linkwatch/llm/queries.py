@@ -12,6 +12,7 @@ from linkwatch.llm.common import table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
 from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
+from linkwatch.llm.parity_join import Similarity, similar_components
 from linkwatch.llm.quality_rules import base_failed, quality_verdicts
 from linkwatch.llm.token_files import read_token_files, write_token_files
 from linkwatch.llm.tokens import default_tokenizer
@@ -21,6 +22,10 @@ END_ID = 2
 SEQUENCE = Capacities(tokens=1024)
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_components(table(spark, folder, "documents"), Similarity(words=4, num=85))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return scanned(docs, document_frequencies(docs))
@@ -85,6 +90,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_license_scan": op4_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
