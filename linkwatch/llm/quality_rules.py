@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkwatch.llm.common import SPACE_CHARS, SPACE_CLASS, landed
+from linkwatch.llm.common import SPACE_CHARS, SPACE_CLASS, fresh, landed
 
 BROADCAST_STRATA = 10_000
 # from here on the lower terms of a binomial tail are bounded by a geometric series
@@ -233,14 +233,6 @@ def judged(rows: DataFrame, name: str, stratum: Column, cutoffs: DataFrame, kept
     return joined.withColumn(kept, ~base_failed(m) & ~breaks).drop(f"{name}_cutoffs")
 
 
-def fresh(docs: DataFrame, name: str) -> str:
-    """A column name the table does not have."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken or f"{name}_cutoffs" in taken:
-        name += "_"
-    return name
-
-
 def quality_verdicts(
     docs: DataFrame,
     labels: DataFrame,
@@ -255,12 +247,12 @@ def quality_verdicts(
     stratum of the empty string.  Rows that repeat an id are judged one by one.
     An empty table, or one without labels, gives the base rules' verdict.
     """
-    name = fresh(docs, "measures")
+    name = fresh(docs.columns, "measures")
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit(""))
     keep = dict.fromkeys((*(carried or docs.columns), "doc_id", stratum_col))
     rows = landed(measured(docs, name).select(*keep, name), "measured")
     known = rows.select("doc_id", stratum.alias("stratum"), F.col(name).alias("m"))
-    return judged(rows, name, stratum, calibrated(known, labels, risk), fresh(rows, "kept"))
+    return judged(rows, name, stratum, calibrated(known, labels, risk), fresh(rows.columns, "kept"))
 
 
 def kept_documents(

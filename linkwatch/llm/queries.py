@@ -14,6 +14,7 @@ from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
 from linkwatch.llm.parity_join import Similarity, similar_components
 from linkwatch.llm.quality_rules import base_failed, quality_verdicts
+from linkwatch.llm.substring_dedup import Passages, deduplicated
 from linkwatch.llm.token_files import read_token_files, write_token_files
 from linkwatch.llm.tokens import default_tokenizer
 from linkwatch.session import scratch_path
@@ -22,6 +23,12 @@ END_ID = 2
 SEQUENCE = Capacities(tokens=1024)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = deduplicated(docs, Passages(length=13))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(table(spark, folder, "documents"), Similarity(words=4, num=85))
 
@@ -90,6 +97,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_license_scan": op4_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
