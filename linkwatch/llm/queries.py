@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkwatch.llm.chat_format import digests, formatted
 from linkwatch.llm.common import table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
+from linkwatch.llm.decontamination import contaminated
 from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
 from linkwatch.llm.parity_join import Similarity, similar_components
@@ -33,6 +34,10 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(table(spark, folder, "documents"), Similarity(words=4, num=85))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return scanned(docs, document_frequencies(docs))
@@ -99,6 +104,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,

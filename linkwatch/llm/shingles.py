@@ -16,6 +16,8 @@ STEP = _U(0xD1342543DE82EF95)
 
 _space = np.zeros(256, bool)
 _space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_mark = np.ones(256, bool)
+_mark[[*b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", *range(128, 256)]] = False
 _lower = np.arange(256, dtype=np.uint8)
 _lower[ord("A") : ord("Z") + 1] += 32
 _powers = np.ones(1, _U)
@@ -42,15 +44,15 @@ class Words:
     """Words of a list of texts: hashes, byte spans and where each text's words start.
 
     ``data`` is all texts, each followed by a line feed; ``first[i] : first[i + 1]``
-    are the words of text i.
+    are the words of text i.  ``plain`` splits at every ASCII mark too.
     """
 
-    def __init__(self, texts: list[bytes | None], lower: bool = False):
+    def __init__(self, texts: list[bytes | None], lower: bool = False, plain: bool = False):
         self.data = b"\n".join(t or b"" for t in texts) + b"\n"
         raw = np.frombuffer(self.data, np.uint8)
         if lower:
             raw = _lower[raw]
-        gap = _space[raw]
+        gap = (_mark if plain else _space)[raw]
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if not gap[0]:
             edge = np.r_[0, edge]
