@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkwatch.llm import html_extraction
 from linkwatch.llm.chat_format import digests, formatted
 from linkwatch.llm.common import table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
@@ -43,6 +44,12 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scanned(docs, document_frequencies(docs))
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    text = html_extraction.extracted(pages, html_extraction.fitted(pages))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), default_tokenizer(), END_ID, SEQUENCE)
 
@@ -106,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
+    "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_compression_classifier": op8_compression_classifier,
