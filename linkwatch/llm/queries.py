@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkwatch.llm import html_extraction
 from linkwatch.llm.chat_format import digests, formatted
-from linkwatch.llm.common import table
+from linkwatch.llm.common import SPACE_CHARS, SPACE_CLASS, table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
 from linkwatch.llm.decontamination import contaminated
 from linkwatch.llm.license_scan import document_frequencies, scanned
@@ -28,7 +28,8 @@ SEQUENCE = Capacities(tokens=1024)
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cut = deduplicated(docs, Passages(length=13))
-    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    words = F.regexp_replace(F.trim("text", F.lit(SPACE_CHARS)), SPACE_CLASS + "+", " ")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
 
 
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -324,9 +324,10 @@ def deduplicated(docs: DataFrame, rule: Passages = Passages()) -> DataFrame:
     """The documents with repeated passages cut out of ``text``.
 
     Returns the columns of ``docs`` and the words before and removed, as the
-    last two columns, whatever their names.  Kept words are joined by one blank;
-    windows are judged on the input, not on what is left.  A text without words
-    becomes empty, so does a null one.  Rows that repeat an id are one document:
+    last two columns, whatever their names.  A text that loses nothing stays as
+    it is; in others a removed stretch leaves a line feed if it held one, else a
+    blank.  Windows are judged on the input, not on what is left.  A null text
+    becomes empty.  Rows that repeat an id are one document:
     none of them is cut because of another.  Rows without an id are left whole.
     An empty table gives an empty one.
     """
@@ -363,30 +364,43 @@ def cut(keyed: DataFrame, row: str, spans: DataFrame, rule: Passages) -> DataFra
     at = plain.index("text")
     schema = keyed.select(*plain).schema.add(before, "long").add(removed, "long")
 
+    def kept(text: bytes, found: list[dict]) -> tuple[bytes, int, int]:
+        words = Words([text])
+        n = len(words.hash)
+        change = np.zeros(n + 1, np.int64)
+        for span in found:
+            start, bits = span["start"], span["bits"]
+            while bits:
+                low = (bits & -bits).bit_length() - 1
+                change[start + low] += 1
+                change[start + low + rule.length] -= 1
+                bits &= bits - 1
+        covered = np.cumsum(change[:-1]) > 0
+        edge = np.flatnonzero(np.diff(np.r_[True, covered, True]))
+        out, last = [], None
+        for a, b in edge.reshape(-1, 2).tolist():  # runs of kept words
+            start, end = int(words.start[a]), int(words.end[b - 1])
+            if last is not None:
+                out.append(b"\n" if b"\n" in text[last:start] else b" ")
+            out.append(text[start:end])
+            last = end
+        return b"".join(out), n, int(covered.sum())
+
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, total, gone = [], [], []
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             for text, found in zip(texts, batch.column(len(plain)), strict=True):
-                words = (text or b"").split()
-                total.append(len(words))
-                if not found.is_valid:
-                    gone.append(0)
-                    out.append(b" ".join(words).decode())
-                    continue
-                change = np.zeros(len(words) + 1, np.int64)
-                for span in found.as_py():
-                    start, bits = span["start"], span["bits"]
-                    while bits:
-                        low = (bits & -bits).bit_length() - 1
-                        change[start + low] += 1
-                        change[start + low + rule.length] -= 1
-                        bits &= bits - 1
-                covered = np.cumsum(change[:-1]) > 0
-                gone.append(int(covered.sum()))
-                out.append(b" ".join(words[i] for i in np.flatnonzero(~covered).tolist()).decode())
+                text = text or b""
+                if found.is_valid:
+                    text, n, lost = kept(text, found.as_py())
+                else:
+                    n, lost = len(text.split()), 0
+                out.append(text)
+                total.append(n)
+                gone.append(lost)
             columns = [*batch.columns[: len(plain)]]
-            columns[at] = pa.array(out, pa.string())
+            columns[at] = pa.array(out, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*plain, before, removed],
