@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from linkwatch.llm.html_blocks import Block, blocks_of
 
 MEMORY = 50_000
+CHAIN = 48
 # Layouts of the labelled pages: what pages commonly call their parts.
 MAIN_NAMES = (
     "content main article post entry story body text article-body post-content entry-content"
@@ -54,8 +55,8 @@ class Training:
     pages: int = 150
     longest: int = 40_000
     layouts: int = 4
-    steps: int = 150
-    penalty: float = 1e-4
+    steps: int = 300
+    penalty: float = 2e-5
     seed: int = 7
 
 
@@ -106,8 +107,15 @@ def _chain(emissions: np.ndarray, mask: np.ndarray, start: float, change: np.nda
 
 
 def train(pages: list[tuple[list[Block], list[int]]], rule: Training = Training()) -> Field:
-    """Maximum likelihood with a quadratic penalty, by adaptive gradient steps."""
-    pages = [p for p in pages if p[0]]
+    """Maximum likelihood with a quadratic penalty, by adaptive gradient steps.
+
+    Long pages are learned as several chains.
+    """
+    pages = [
+        (blocks[i : i + CHAIN], labels[i : i + CHAIN])
+        for blocks, labels in pages
+        for i in range(0, len(blocks), CHAIN)
+    ]
     names: dict[str, int] = {}
     rows = [
         [
@@ -147,7 +155,7 @@ def train(pages: list[tuple[list[Block], list[int]]], rule: Training = Training(
             (p - y)[mask].astype(np.float32) @ x, ((p - y) * mask)[:, 0].sum(), moves
         ] / total + rule.penalty * w
         seen += slope**2
-        w -= 0.5 * slope / np.sqrt(seen)
+        w -= slope / np.sqrt(seen)
     weights = {f: float(w[k]) for f, k in names.items()}
     return Field(weights, float(w[-5]), tuple(map(tuple, w[-4:].reshape(2, 2).tolist())))
 
@@ -259,7 +267,7 @@ def dressed(
              '<table><tr><td>{}</td></tr></table>']
         )
         body.append(shape.format(mark(text, True)))
-        if rng.random() < 0.1:
+        if rng.random() < 0.2:
             body.append(part(rng.choice(["advert", "notice", "sidebar", "share", "form"])))
     if rng.random() < 0.3:
         body.append(part(rng.choice(["share", "comments", "comments", "sidebar"])))

@@ -142,4 +142,63 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op9_chat_format": CHAT_SQL}
+PASSAGE_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), runs AS (
+  SELECT doc_id, i, words[i : i + 12] AS run
+  FROM texts, unnest(generate_series(1, len(words) - 12)) AS t(i)
+), firsts AS (
+  SELECT run, min(doc_id) AS least FROM runs GROUP BY run
+), covered AS (
+  SELECT DISTINCT doc_id, p
+  FROM runs JOIN firsts USING (run), unnest(generate_series(i, i + 12)) AS t(p)
+  WHERE least < doc_id
+), placed AS (
+  SELECT doc_id, p, words[p] AS word FROM texts, unnest(generate_series(1, len(words))) AS t(p)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body
+  FROM placed ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+), lost AS (
+  SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, words[i : i + 3] AS shingle
+  FROM texts, unnest(generate_series(1, greatest(1, len(words) - 3))) AS t(i)
+  WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles AS a JOIN shingles AS b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM texts
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": PASSAGE_SQL,
+    "op2_jaccard_join": JACCARD_SQL,
+    "op9_chat_format": CHAT_SQL,
+}
