@@ -20,7 +20,6 @@ FREQUENCY = r"(?m)^\s*freq:\s*(\d+)"
 SIGNAL = r"(?m)^\s*signal:\s*(-?\d+(?:\.\d+)?)\s*dBm"
 BITRATE = r"(?m)^\s*tx bitrate:\s*(\d+(?:\.\d+)?)\s*MBit/s"
 NOT_CONNECTED = "Not connected"
-MESSAGE_LENGTH = 1024
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -29,13 +28,20 @@ def found(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(hit != "", hit)
 
 
-def first_text(*texts: Column) -> Column:
-    """First non-empty text, trimmed and bounded like a stored message."""
+def first_text(*texts: Column, longest: int | None = None) -> Column:
+    """First non-empty text, trimmed; cut only where ``longest`` says so."""
     chosen = F.coalesce(*[F.when(t != "", t) for t in texts], F.lit(""))
-    return F.substring(F.regexp_replace(chosen, r"^\s+|\s+$", ""), 1, MESSAGE_LENGTH)
+    text = F.regexp_replace(chosen, r"^\s+|\s+$", "")
+    return text if longest is None else F.substring(text, 1, longest)
 
 
-def ping_fields(stdout: Column | str, stderr: Column | str, return_code: Column | str) -> dict:
+def ping_fields(
+    stdout: Column | str,
+    stderr: Column | str,
+    return_code: Column | str,
+    *,
+    longest_message: int | None = None,
+) -> dict:
     out, err, code = col(stdout), col(stderr), col(return_code)
     both = F.concat_ws("\n", F.coalesce(out, F.lit("")), F.coalesce(err, F.lit("")))
     loss = F.coalesce(found(both, PACKET_LOSS).cast("double"), F.lit(100.0))
@@ -48,7 +54,7 @@ def ping_fields(stdout: Column | str, stderr: Column | str, return_code: Column
         "packet_loss_pct": loss,
         "jitter_ms": F.when(success, jitter),
         "error_class": F.when(~success, F.lit("PingFailed")),
-        "error_message": F.when(~success, first_text(err, out)),
+        "error_message": F.when(~success, first_text(err, out, longest=longest_message)),
     }
 
 
@@ -60,6 +66,7 @@ def wifi_fields(
     ssid_mode: str = "hash",
     bssid_mode: str = "hash",
     salt: str = "",
+    longest_message: int | None = None,
 ) -> dict:
     out, err, code = col(stdout), col(stderr), col(return_code)
     connected = F.coalesce((code == 0) & ~out.contains(NOT_CONNECTED), F.lit(False))
@@ -77,7 +84,7 @@ def wifi_fields(
         "frequency_mhz": when_linked(found(out, FREQUENCY).cast("int")),
         "bitrate_mbps": when_linked(found(out, BITRATE).cast("double")),
         "error_class": F.when(~connected, F.lit("WifiDisconnected")),
-        "error_message": F.when(~connected, first_text(err, out)),
+        "error_message": F.when(~connected, first_text(err, out, longest=longest_message)),
     }
 
 

@@ -66,10 +66,13 @@ def _means(df: DataFrame) -> DataFrame:
     )
 
 
-def _keyed(daily: DataFrame, namespace: str) -> DataFrame:
-    return daily.withColumns(
-        {"agent_key": pseudonym("agent_id", namespace), "measurement_type": F.col("probe_type")}
-    )
+def _typed(daily: DataFrame) -> DataFrame:
+    return daily.withColumn("measurement_type", F.col("probe_type"))
+
+
+def _keyed(rows: DataFrame, namespace: str) -> DataFrame:
+    """Short keys may clash, so agents are told apart by id until the end."""
+    return rows.withColumn("agent_key", pseudonym("agent_id", namespace))
 
 
 def _ordered(df: DataFrame, dataset: str, *order) -> DataFrame:
@@ -82,8 +85,8 @@ def _role_order() -> Column:
 
 def export_daily(daily: DataFrame, namespace: str = PSEUDONYM_NAMESPACE) -> DataFrame:
     """Weighted daily roll-up over endpoints; rates and means of pooled counts."""
-    keys = ("date_utc", "agent_key", "agent_role", "source_kind", "measurement_type")
-    rows = _means(_keyed(daily, namespace).groupBy(*keys).agg(*_totals()))
+    keys = ("date_utc", "agent_id", "agent_role", "source_kind", "measurement_type")
+    rows = _keyed(_means(_typed(daily).groupBy(*keys).agg(*_totals())), namespace)
     return _ordered(
         rows, "daily_reliability", "date_utc", "agent_key", _role_order(), *keys[3:]
     )
@@ -92,8 +95,8 @@ def export_daily(daily: DataFrame, namespace: str = PSEUDONYM_NAMESPACE) -> Data
 def export_agents(daily: DataFrame, namespace: str = PSEUDONYM_NAMESPACE) -> DataFrame:
     """Whole-period roll-up.  Days are folded first, so counting the distinct
     ones is counting rows."""
-    keys = ("agent_key", "agent_role", "source_kind", "measurement_type")
-    by_day = _keyed(daily, namespace).groupBy(*keys, "date_utc").agg(
+    keys = ("agent_id", "agent_role", "source_kind", "measurement_type")
+    by_day = _typed(daily).groupBy(*keys, "date_utc").agg(
         *[
             F.sum(c).alias(c)
             for c in ("total_count", "success_count", "failure_count", "latency_count",
@@ -108,7 +111,8 @@ def export_agents(daily: DataFrame, namespace: str = PSEUDONYM_NAMESPACE) -> Dat
         F.count(F.lit(1)).alias("observation_day_count"),
         *_totals(),
     )
-    return _ordered(_means(rows), "agent_performance", "agent_key", _role_order(), *keys[2:])
+    rows = _keyed(_means(rows), namespace)
+    return _ordered(rows, "agent_performance", "agent_key", _role_order(), *keys[2:])
 
 
 def incident_conflicts(summary: DataFrame) -> DataFrame:

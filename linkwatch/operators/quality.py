@@ -80,22 +80,22 @@ def source_status(snapshot: DataFrame, stale_s: float = 900, delay_s: float = 60
     upstream = (F.col("relevant_raw_count") > 0) | (F.col("heartbeat_count") > 0)
     behind = micros("latest_heartbeat_at") - micros("latest_observation_at")
     cases = [
-        (F.col("invalid_count") > 0, "invalid", "invalid source records exist"),
+        (F.col("invalid_count") > 0, "invalid", "the window holds rows that break their contract"),
         (
             empty & upstream,
             "missing",
-            "upstream activity exists without typed probe observations",
+            "records or heartbeats came in, yet none of them is a probe result",
         ),
-        (empty, "legitimately_empty", "no upstream activity exists in the requested window"),
+        (empty, "legitimately_empty", "nothing at all was received for these days"),
         (
             F.coalesce(behind > F.lit(round(stale_s * 1e6)), F.lit(False)),
             "stale",
-            "agent activity continued after probe observations became stale",
+            "heartbeats go on, the newest probe result is too old",
         ),
         (
             F.coalesce(F.col("maximum_ingestion_delay_seconds") > delay_s, F.lit(False)),
             "delayed",
-            "observations arrived after the configured ingestion grace",
+            "some probe results were received later than allowed",
         ),
     ]
     status = F.when(F.lit(False), F.lit(""))
@@ -105,7 +105,7 @@ def source_status(snapshot: DataFrame, stale_s: float = 900, delay_s: float = 60
     return snapshot.withColumns(
         {
             "source_status": status.otherwise("healthy"),
-            "reason": reason.otherwise("source observations are current"),
+            "reason": reason.otherwise("probe results are complete and recent"),
         }
     ).withColumn("may_refresh", F.col("source_status").isin(*S.REFRESHABLE))
 

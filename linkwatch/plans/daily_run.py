@@ -48,8 +48,23 @@ class DailyRun:
         self.sources = sources
         self.out = out.rstrip("/")
 
+    def run_scheduled(self, now: dt.datetime, longest: int = LONGEST_SCHEDULED_DAYS) -> dict:
+        """The day before ``now``, under the bound that scheduled runs have."""
+        first, last = D.previous_utc_day(now)
+        D.checked_range(first, last, longest)
+        return self.run(first, last, now)
+
+    def run_all(self, now: dt.datetime) -> dict:
+        """Every day the sources have."""
+        s = self.sources
+        bounds = D.date_bounds(D.event_dates(s.measurements), D.event_dates(s.checks)).first()
+        if bounds.from_date is None:
+            raise ValueError("the sources hold no day")
+        return self.run(bounds.from_date, bounds.through_date, now)
+
     def run(self, first: dt.date, last: dt.date, now: dt.datetime) -> dict:
-        D.checked_range(first, last, LONGEST_SCHEDULED_DAYS)
+        """An explicit range of any length."""
+        D.checked_range(first, last)
         key = f"{JOB}:{first}:{last}"
         gate = self._gate(first, last)
         self._record(key, "start", now, first, last, gate)

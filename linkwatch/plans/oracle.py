@@ -68,7 +68,6 @@ def identity(number: str, sites: int | None) -> str:
 def telemetry(sites: int | None) -> dict[str, str]:
     return {
         "base": f"""
-  SELECT * FROM (
     SELECT event_id AS event_no,
       substr(md5(CAST(event_id AS VARCHAR)),1,8)||'-'||substr(md5(CAST(event_id AS VARCHAR)),9,4)||'-4'||
       substr(md5(CAST(event_id AS VARCHAR)),14,3)||'-a'||substr(md5(CAST(event_id AS VARCHAR)),18,3)||'-'||
@@ -78,11 +77,11 @@ def telemetry(sites: int | None) -> dict[str, str]:
         WHEN 'purchase' THEN CASE WHEN user_id % 2 = 1 THEN 'wifi_diagnostics'
           WHEN k % 4 = 0 THEN 'speed_test' ELSE 'router_ping' END
         WHEN 'signup' THEN CASE WHEN k % 2 = 0 THEN 'dns' ELSE 'http' END
-        ELSE 'heartbeat' END AS kind,
+        ELSE CASE WHEN day(ts) % 10 = 9 AND user_id % 2 = 1 THEN 'router_ping'
+          ELSE 'heartbeat' END END AS kind,
       day(ts) % 10 AS sc,
       {identity('user_id', sites)}
-    FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)
-  ) WHERE NOT (sc = 9 AND agent_role = '{S.WIFI}')""",
+    FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)""",
         "measurements": f"""
   SELECT event_no, event_id, site_id, agent_id, agent_role, event_time, kind AS measurement_type,
     CASE kind WHEN 'router_ping' THEN 'router' WHEN 'external_ping' THEN 'public-a'

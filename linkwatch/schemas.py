@@ -60,7 +60,6 @@ UTC_SUFFIX_PATTERN = r"(?:Z|[+-]00:?00)$"
 
 WINDOW_SIZES = {"1 minute": 60, "5 minutes": 300, "15 minutes": 900, "1 day": 86_400}
 WATERMARK = "15 minutes"
-MAX_BATCH_ROWS = 10_000
 RULE_VERSION = "1.0.0"
 # ---------------------------------------------------------------------------
 

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwatch import schemas as S
 from linkwatch.operators import exports as X
 from linkwatch.operators.validate import computed_once
 from linkwatch.sources import files
@@ -89,9 +88,14 @@ def resolve_first_seen(
     )
 
 
-def upsert(existing: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Table after a last-writer-wins merge, for targets rewritten as a whole."""
-    fresh = batch.dropDuplicates(list(keys))
+def upsert(
+    existing: DataFrame | None, batch: DataFrame, keys: Sequence[str], version: str = BATCH
+) -> DataFrame:
+    """Table after a last-writer-wins merge, for targets rewritten as a whole.
+
+    Within the batch the row of the largest ``version`` of a key is the last.
+    """
+    fresh = resolve_last(batch, keys, version).select(*batch.columns)
     if existing is None:
         return fresh
     return existing.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
@@ -102,11 +106,11 @@ def compact(log: DataFrame, keys: Sequence[str], path: str) -> None:
     resolve_last(log, keys).drop(BATCH).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
 
 
-def metrics_writer(path: str, ledger: str, largest: int | None = S.MAX_BATCH_ROWS, query: str = "window-metrics"):
+def metrics_writer(path: str, ledger: str, largest: int | None = None, query: str = "window-metrics"):
     return _writer(path, ledger, largest, query)
 
 
-def rejects_writer(path: str, ledger: str, largest: int | None = S.MAX_BATCH_ROWS, query: str = "invalid-measurements"):
+def rejects_writer(path: str, ledger: str, largest: int | None = None, query: str = "invalid-measurements"):
     return _writer(path, ledger, largest, query)
 
 
@@ -129,22 +133,38 @@ def replace_range(
 ) -> None:
     """Replace the partitions of an inclusive day range.
 
-    The new rows are written to a staging directory first.  Only then are the
-    range's partitions dropped and the staged ones moved in, so a day that
-    became empty is cleared, and a rerun after a failure repairs the range.
+    The new rows are written to a staging directory first.  Then the range's
+    partitions are moved aside and the staged ones moved in, so a day that became
+    empty is cleared.  If a move fails, what was published comes back.
     """
     spark = rows.sparkSession
     staged = files.sibling(path, "staging")
     inside = rows.where(F.col(column).between(F.lit(first), F.lit(last)))
-    inside.repartition(column).write.mode("overwrite").partitionBy(column).parquet(staged)
-    fresh = set(files.children(spark, staged))
-    for offset in range((last - first).days + 1):
-        name = f"{column}={(first + dt.timedelta(days=offset)).isoformat()}"
-        if files.exists(spark, f"{path}/{name}"):
+    # several tasks may write one day; small ones are merged when the plan runs
+    inside.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(staged)
+    days = [
+        f"{column}={(first + dt.timedelta(days=n)).isoformat()}"
+        for n in range((last - first).days + 1)
+    ]
+    aside, new, moved, placed = files.sibling(path, "aside"), set(files.children(spark, staged)), [], []
+    try:
+        for name in days:
+            if files.exists(spark, f"{path}/{name}"):
+                files.move(spark, f"{path}/{name}", f"{aside}/{name}")
+                moved.append(name)
+        for name in days:
+            if name in new:
+                files.move(spark, f"{staged}/{name}", f"{path}/{name}")
+                placed.append(name)
+    except BaseException:
+        for name in placed:
             files.delete(spark, f"{path}/{name}")
-        if name in fresh:
-            files.move(spark, f"{staged}/{name}", f"{path}/{name}")
-    files.delete(spark, staged)
+        for name in moved:
+            files.move(spark, f"{aside}/{name}", f"{path}/{name}")
+        raise
+    finally:
+        files.delete(spark, staged)
+        files.delete(spark, aside)
 
 
 def replace_snapshot(rows: DataFrame, path: str) -> None:

@@ -60,6 +60,8 @@ class Telemetry:
         number = F.col("user_id")
         k = F.get_json_object("props", "$.k").cast("int")
         wired = F.pmod(number, F.lit(2)) == 0
+        condition = F.pmod(F.dayofmonth(F.col("ts").cast("timestamp")), F.lit(10))
+        silent = condition == WIFI_SILENT
         kind = (
             F.when(F.col("event_type") == "view", F.lit("router_ping"))
             .when(F.col("event_type") == "click", F.lit("external_ping"))
@@ -73,6 +75,8 @@ class Telemetry:
                 F.col("event_type") == "signup",
                 F.when(F.pmod(k, F.lit(2)) == 0, F.lit("dns")).otherwise(F.lit("http")),
             )
+            # a silent day's heartbeats never come; the agent still probes
+            .when(silent & ~wired, F.lit("router_ping"))
             .otherwise(F.lit("heartbeat"))
         )
         md5 = F.md5(F.col("event_id").cast("string"))
@@ -94,12 +98,10 @@ class Telemetry:
             F.col("value").alias("v"),
             k.alias("k"),
             kind.alias("kind"),
+            condition.alias("sc"),
             *[c.alias(n) for n, c in self._identity(number).items()],
         )
-        rows = rows.withColumn("sc", F.pmod(F.dayofmonth("event_time"), F.lit(10)))
-        return rows.where(
-            ~((F.col("sc") == WIFI_SILENT) & (F.col("agent_role") == S.WIFI))
-        )
+        return rows
 
     @cached_property
     def measurements(self) -> DataFrame:

@@ -46,7 +46,7 @@ def start_measurement_queries(
     *,
     delay: str = S.WATERMARK,
     trigger: str | None = None,
-    largest: int | None = S.MAX_BATCH_ROWS,
+    largest: int | None = None,
     now=None,
     dedup: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
