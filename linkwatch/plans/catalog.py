@@ -1533,13 +1533,23 @@ def stream_rejects(spark, folder):
 @query("stream_lifecycle", _TRANSITIONS_SQL, RULE_SITES)
 def stream_lifecycle(spark, folder):
     """The keyed-state lifecycle over landed evaluations."""
+    return _stream_lifecycle(spark, folder)
+
+
+def _stream_lifecycle(spark, folder, files: int | None = None):
     from linkwatch.streaming.jobs import start_query
     from linkwatch.streaming.lifecycle import STATE_STORE, finding_type, lifecycle_stream, tick_rows
 
     t = _rules(spark, folder)
     found = spark.read.parquet(_landed(spark, _findings(t), "findings"))
-    landed = _landed(spark, tick_rows(found, _span(t), CFG), "ticks")
-    ticks = spark.readStream.schema(spark.read.parquet(landed).schema).parquet(landed)
+    rows = tick_rows(found, _span(t), CFG)
+    if files:
+        rows = rows.repartition(files, F.xxhash64("tick_us"))
+    landed = _landed(spark, rows, "ticks")
+    source = spark.readStream.schema(spark.read.parquet(landed).schema)
+    if files:
+        source = source.option("maxFilesPerTrigger", 2)
+    ticks = source.parquet(landed)
     out = scratch_path(spark, "stream-lifecycle")
     before = spark.conf.get(STATE_STORE[0], None)
     spark.conf.set(*STATE_STORE)
@@ -1558,6 +1568,12 @@ def stream_lifecycle(spark, folder):
     return spark.read.parquet(f"{out}/transitions").select(*_TRANSITION_COLUMNS)
 
 
+@query("stream_lifecycle_unordered", _TRANSITIONS_SQL, RULE_SITES)
+def stream_lifecycle_unordered(spark, folder):
+    """The same over several triggers whose files hold the evaluations in no order."""
+    return _stream_lifecycle(spark, folder, files=6)
+
+
 @query(
     "csv_roundtrip",
     """SELECT 'agent_performance' AS dataset, (SELECT COUNT(*) FROM (SELECT DISTINCT agent_id, agent_role, source_kind,

@@ -27,6 +27,8 @@ STATE_STORE = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 )
 
+_FIRST = -(1 << 62)  # stands before the first evaluation
+
 _STATE = T.StructType(
     [
         T.StructField("start_us", T.LongType()),
@@ -50,7 +52,9 @@ _OUTPUT = T.StructType(
 def tick_rows(findings: DataFrame, span: TickSpan, cfg: S.Thresholds) -> DataFrame:
     """One row per site and evaluation with its findings, none for a quiet one.
 
-    Quiet evaluations drive recovery, so they are rows too.
+    Quiet evaluations drive recovery, so they are rows too.  Each row names the
+    evaluation before it (null for the first), so a stream can take them in any
+    order without losing one.
     """
     step = cadence_of(cfg).step_us
     sites = findings.select("site_id").distinct()
@@ -63,6 +67,7 @@ def tick_rows(findings: DataFrame, span: TickSpan, cfg: S.Thresholds) -> DataFra
     return spine.join(found, ["site_id", "tick_us"], "left").select(
         "site_id",
         "tick_us",
+        F.when(F.col("tick_us") > span.first, F.col("tick_us") - F.lit(step)).alias("previous_us"),
         F.to_json(
             F.map_from_entries(
                 F.coalesce(
@@ -75,7 +80,12 @@ def tick_rows(findings: DataFrame, span: TickSpan, cfg: S.Thresholds) -> DataFra
 
 
 class LifecycleProcessor(StatefulProcessor):
-    """Active incidents of one site, advanced evaluation by evaluation."""
+    """Active incidents of one site, advanced evaluation by evaluation.
+
+    An evaluation waits in the state until the one before it has been taken, so
+    none is lost, however files and triggers are ordered.  One that was taken
+    already is a repeated delivery and changes nothing.
+    """
 
     def __init__(self, to_open: int, to_resolve: int) -> None:
         self._to_open = to_open
@@ -84,20 +94,38 @@ class LifecycleProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         key = T.StructType([T.StructField("incident_key", T.StringType())])
         tick = T.StructType([T.StructField("tick_us", T.LongType())])
+        before = T.StructType([T.StructField("previous_us", T.LongType())])
+        waiting = T.StructType(
+            [T.StructField("tick_us", T.LongType()), T.StructField("findings", T.StringType())]
+        )
         self._active = handle.getMapState("active", key, _STATE)
+        self._waiting = handle.getMapState("waiting", before, waiting)
         self._last = handle.getValueState("last_tick", tick)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        ticks = pd.concat(list(rows)).sort_values("tick_us")
         last = self._last.get()[0] if self._last.exists() else None
+        come: dict[int, tuple[int, str]] = {}
+        for frame in rows:
+            for tick, previous, findings in zip(
+                frame["tick_us"], frame["previous_us"], frame["findings"]
+            ):
+                if last is None or tick > last:
+                    come[_FIRST if pd.isna(previous) else int(previous)] = (int(tick), findings)
         active = {k[0]: tuple(v) for k, v in self._active.iterator()}
         before = dict(active)
         out = []
-        for tick, findings in zip(ticks["tick_us"], ticks["findings"]):
-            if last is not None and tick <= last:
-                continue
-            last = int(tick)
-            out += self._advance(key[0], last, _decode(findings), active)
+        while True:
+            step = _FIRST if last is None else last
+            following = come.pop(step, None)
+            if self._waiting.containsKey((step,)):
+                following = tuple(self._waiting.getValue((step,)))
+                self._waiting.removeKey((step,))
+            if following is None:
+                break
+            last = following[0]
+            out += self._advance(key[0], last, _decode(following[1]), active)
+        for step, row in come.items():
+            self._waiting.updateValue((step,), row)
         for name in before.keys() - active.keys():
             self._active.removeKey((name,))
         for name, state in active.items():

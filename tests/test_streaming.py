@@ -120,7 +120,8 @@ def test_stream_deduplicates_on_request(spark, tmp_path):
     assert {r["event_count"] for r in rows} == {1}
 
 
-def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path):
+@pytest.mark.parametrize("later_first", [False, True])
+def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path, later_first):
     step = 10_000_000
     hits = {"s1": ["110100111000", "001100000011"], "s2": ["101010101010", "111111000110"]}
     rows = [
@@ -143,7 +144,7 @@ def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path):
     landed = str(tmp_path / "ticks")
     for half in (0, 1):
         part = tick_rows(findings, span, cfg).where(
-            (F.col("tick_us") < 6 * step) == F.lit(half == 0)
+            (F.col("tick_us") < 6 * step) == F.lit((half == 0) != later_first)
         )
         part.coalesce(1).write.mode("append").parquet(landed)
     files = sorted((f for f in os.listdir(landed) if f.startswith("part")),
