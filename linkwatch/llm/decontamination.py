@@ -27,6 +27,8 @@ from linkwatch.llm.shingles import Words, windows
 _U = np.uint64
 SLICE = 256
 BLOCK = 8
+MOST_BLOCKS = 512
+COMMON_SHARE = 0.75
 SHARD_BYTES = 16_000_000
 LEAST_PASSAGE = 64
 # fixed value: what stands between two words
@@ -60,8 +62,9 @@ class Index:
     question: list[np.ndarray]
     answer: list[np.ndarray]
     passage: int
-    rare: np.ndarray  # bound of a term that must help, 0 for the common ones
-    common: float  # most that the common terms of an item can give
+    common: np.ndarray  # terms that cannot reach the threshold without others
+    bounds: tuple[np.ndarray, np.ndarray, np.ndarray]  # other terms: places, blocks, block maxima
+    spare: np.ndarray  # most that common terms give an item of the block
     slot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
@@ -125,15 +128,25 @@ def build_index(
                 [max(values[k : k + BLOCK]) for k in blocks],
             )
         )
-    # the most frequent terms, as long as no item gets half of the threshold from them
+    # the most frequent terms, as long as no item gets most of the threshold from them
     gained = np.zeros(len(kept))
-    rare = np.array([p[2] for p in postings])
+    common = np.zeros(len(postings), bool)
     for t in sorted(range(len(postings)), key=lambda t: -len(postings[t][0])):
         items, values = postings[t][:2]
-        if (gained[items] + values).max() > rule.score / 2:
-            continue
-        gained[items] += values
-        rare[t] = 0.0
+        if (gained[items] + values).max() <= COMMON_SHARE * rule.score:
+            gained[items] += values
+            common[t] = True
+    width = max(1, -(-len(kept) // MOST_BLOCKS))
+    spare = np.zeros(-(-len(kept) // width))
+    np.maximum.at(spare, np.arange(len(kept)) // width, gained)
+    places, blocks, maxima = [0], [], []
+    for t, (items, values, *_) in enumerate(postings):
+        best: dict[int, float] = {}
+        for i, v in zip(items, values, strict=True) if not common[t] else ():
+            best[i // width] = max(v, best.get(i // width, 0.0))
+        blocks += best
+        maxima += best.values()
+        places.append(len(blocks))
     bits = max(10, (4 * len(vocabulary)).bit_length())
     terms = hashes[order]
     while len(np.unique(terms & _U((1 << bits) - 1))) < len(terms) and bits < 28:
@@ -147,12 +160,41 @@ def build_index(
         questions,
         answers,
         max(LEAST_PASSAGE, longest),
-        rare,
-        float(gained.max(initial=0.0)),
+        common,
+        (np.array(places), np.array(blocks, np.int64), np.array(maxima, np.float64)),
+        spare,
         slot,
     )
 
 
+def promising(index: Index, term: np.ndarray, first: np.ndarray, least: float):
+    """Passages with a block of items whose bound reaches the threshold: text and first unit.
+
+    A unit is a stretch of ``index.passage`` words, a passage is two units in a row.
+    """
+    units = -(-np.diff(first) // index.passage)
+    start = np.r_[0, np.cumsum(units)]
+    text = np.repeat(np.arange(len(units)), units)
+    places, blocks, maxima = index.bounds
+    hit = np.flatnonzero((term >= 0) & ~index.common[term])
+    owner = np.searchsorted(first, hit, "right") - 1
+    unit = start[owner] + (hit - first[owner]) // index.passage
+    many = places[term[hit] + 1] - places[term[hit]]
+    at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at += np.repeat(places[term[hit]], many)
+    width = len(index.spare)
+    bound = np.bincount(
+        np.repeat(unit, many) * width + blocks[at], maxima[at], minlength=len(text) * width
+    ).reshape(len(text), width)
+    inner = np.flatnonzero(text[:-1] == text[1:])  # the unit after belongs to the text too
+    both = bound.copy()
+    both[inner] += bound[inner + 1]
+    alone = np.r_[text[:-1] != text[1:], True] & (units[text] > 1)
+    good = (both + index.spare >= least).any(axis=1) & ~alone[: len(text)]
+    found = np.flatnonzero(good)
+    return text[found], found - start[text[found]]
+
+
 def search(index: Index, terms: list[int], least: float) -> list[tuple[int, float]]:
     """All items whose score for these distinct terms reaches ``least``, by block-max WAND."""
     cursors = [[index.postings[t][0][0], 0, index.postings[t]] for t in terms]
@@ -207,7 +249,6 @@ def passage_hits(index: Index, docs: DataFrame, rule: Overlap) -> DataFrame:
 
     def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
-        size, step = 2 * index.passage, index.passage
         for batch in batches:
             best: dict[tuple[int, int], tuple] = {}
             for at in range(0, batch.num_rows, SLICE):
@@ -215,26 +256,13 @@ def passage_hits(index: Index, docs: DataFrame, rule: Overlap) -> DataFrame:
                 texts = [t.lower().encode() for t in rows.column(1).to_pylist()]
                 words = Words(texts, plain=True)
                 term = index.look_up(words.hash)
-                gain = np.where(term >= 0, index.rare[term], 0.0)
-                total = np.r_[0.0, np.cumsum(gain)]
-                n = np.diff(words.first)
-                count = np.maximum(1, -(-(n - size) // step) + 1)
-                count[n == 0] = 0
-                text = np.repeat(np.arange(len(n)), count)
-                start = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-                start = words.first[text] + step * start
-                end = np.minimum(start + size, words.first[text + 1])
-                maybe = np.flatnonzero(
-                    total[end] - total[start] + index.common >= rule.score - 1e-9
-                )
                 ids = rows.column(0).to_pylist()
-                for p in maybe.tolist():
-                    a, b = int(start[p]), int(end[p])
+                owners, units = promising(index, term, words.first, rule.score - 1e-9)
+                for o, u in zip(owners.tolist(), units.tolist(), strict=True):
+                    a = int(words.first[o]) + u * index.passage
+                    b = min(a + 2 * index.passage, int(words.first[o + 1]))
                     terms = np.unique(term[a:b])
                     terms = terms[terms >= 0]
-                    # distinct terms give a closer bound than all words did
-                    if index.rare[terms].sum() + index.common < rule.score - 1e-9:
-                        continue
                     for i, score in search(index, terms.tolist(), rule.score - 1e-9):
                         own = windows(words.hash[a:b], min(rule.group, b - a))
                         asked, said = index.question[i], index.answer[i]
@@ -242,8 +270,8 @@ def passage_hits(index: Index, docs: DataFrame, rule: Overlap) -> DataFrame:
                         s = np.isin(said, own).mean() if len(said) else 1.0
                         if q < rule.question or s < rule.answer:
                             continue
-                        key = (ids[text[p]], index.items[i])
-                        row = (score, float(q), float(s), a - int(words.first[text[p]]))
+                        key = (ids[o], index.items[i])
+                        row = (score, float(q), float(s), a - int(words.first[o]))
                         if key not in best or row > best[key]:
                             best[key] = row
             out = [(*k, *v) for k, v in best.items()]

@@ -14,8 +14,10 @@ from linkwatch.llm.decontamination import (
     build_index,
     clean_documents,
     contaminated,
+    promising,
     search,
 )
+from linkwatch.llm.shingles import Words
 from tests.llm.conftest import ODD_TEXTS, prose
 
 
@@ -42,14 +44,24 @@ def test_search_returns_every_item_above_the_threshold(rng, least):
         assert all(got[i] == pytest.approx(want[i]) for i in want)
 
 
-def test_terms_that_may_be_missing_never_reach_the_threshold(rng):
-    index = index_of([(i, " ".join(prose(rng, 30, 60))) for i in range(80)])
-    common = np.flatnonzero(index.rare == 0)
-    gained = Counter()
-    for t in common.tolist():
-        for i, v in zip(*index.postings[t][:2], strict=True):
-            gained[i] += v
-    assert max(gained.values(), default=0.0) <= index.common + 1e-12 < Overlap().score
+@pytest.mark.parametrize("most", [512, 7])
+def test_passages_left_out_hold_no_item(rng, monkeypatch, most):
+    monkeypatch.setattr(decontamination, "MOST_BLOCKS", most)
+    index = index_of([(i, " ".join(prose(rng, 30, 60 + i * 10))) for i in range(80)])
+    texts = [" ".join(prose(rng, n, 800)).encode() for n in (0, 1, 40, 64, 65, 128, 129, 700)] * 3
+    words = Words(texts, plain=True)
+    term = index.look_up(words.hash)
+    least = 0.25
+    owners, units = promising(index, term, words.first, least)
+    got = set(zip(owners.tolist(), units.tolist(), strict=True))
+    for o in range(len(texts)):
+        n = int(words.first[o + 1] - words.first[o])
+        for u in range(max(1, -(-n // index.passage) - 1) if n else 0):
+            a = int(words.first[o]) + u * index.passage
+            terms = np.unique(term[a : min(a + 2 * index.passage, int(words.first[o + 1]))])
+            if search(index, terms[terms >= 0].tolist(), least):
+                assert (o, u) in got
+    assert all(u == 0 or u + 1 < -(-int(words.first[o + 1] - words.first[o]) // index.passage) for o, u in got)
 
 
 def planted(rng):
