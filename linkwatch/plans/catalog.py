@@ -558,6 +558,36 @@ def active_incidents(spark, folder):
     )
 
 
+@query(
+    "active_incidents_at_noon",
+    f"""SELECT d AS day_no, incident_id, incident_key, {ts('start_time')} AS start_time, status FROM (
+  SELECT d, incident_id, incident_key, start_time, status,
+    row_number() OVER (PARTITION BY d, incident_id ORDER BY state_revision DESC) AS n
+  FROM transitions, (SELECT unnest([2, 3, 5, 13, 24]) AS d)
+  WHERE observed_at <= TIMESTAMP '{FIRST} 12:00:00' + to_days(CAST(d - 1 AS INTEGER)))
+WHERE n = 1 AND status <> 'resolved'""",
+    RULE_SITES,
+)
+def active_incidents_at_noon(spark, folder):
+    """What was active at noon of some days, from the transitions up to then."""
+    days = F.array(*[F.lit(d).cast("bigint") for d in (2, 3, 5, 13, 24)])
+    noon = F.unix_micros(F.lit(f"{FIRST} 12:00:00").cast("timestamp")) + (
+        F.col("day_no") - 1
+    ) * F.lit(86_400_000_000)
+    moves = _transitions(_rules(spark, folder)).select("*", F.explode(days).alias("day_no"))
+    moves = moves.where(F.unix_micros("observed_at") <= noon)
+    # an incident of each day's view is told apart by the day in its id
+    seen = F.concat_ws("@", "incident_id", "day_no")
+    now = L.active(L.incident_state(moves.withColumn("incident_id", seen)))
+    return now.select(
+        "day_no",
+        F.substring_index("incident_id", "@", 1).alias("incident_id"),
+        "incident_key",
+        "start_time",
+        "status",
+    )
+
+
 def _state_log(t: Telemetry) -> DataFrame:
     return L.state_log(L.incident_events(_transitions(t)))
 
@@ -1611,3 +1641,107 @@ def replaced_range(spark, folder):
     return stored.groupBy("date_utc").agg(
         F.count(F.lit(1)).alias("grains"), F.sum("total_count").alias("probes")
     )
+
+
+# --- sinks and states that other rows do not reach ------------------------------------
+
+
+@query(
+    "upsert_two_versions",
+    """SELECT base.agent_id, base.event_no, base.v FROM base JOIN (
+  SELECT coalesce(MAX(event_no) FILTER (event_no % 3 <> 0), MAX(event_no)) AS last_no
+  FROM base GROUP BY agent_id) ON base.event_no = last_no""",
+)
+def upsert_two_versions(spark, folder):
+    """A table merged with a batch that holds many versions of a key: the last one stays."""
+    rows = Telemetry(spark, folder).base.select("agent_id", "event_no", "v")
+    old = sinks.resolve_last(rows.where("event_no % 3 = 0"), ["agent_id"], "event_no")
+    batch = rows.where("event_no % 3 <> 0")
+    return sinks.upsert(old.select(*rows.columns), batch, ["agent_id"], "event_no")
+
+
+@query(
+    "batch_ledger",
+    """SELECT 'landed' AS query_name, event_no % 3 AS batch_id, COUNT(*) AS output_rows FROM base
+GROUP BY 2""",
+)
+def batch_ledger(spark, folder):
+    """Three batches, one of them written twice: the ledger counts each once."""
+    rows = Telemetry(spark, folder).base.select("event_no", "agent_id", "v")
+    out = scratch_path(spark, "ledger")
+    write = sinks._writer(f"{out}/rows", f"{out}/ledger", None, "landed")
+    for n in (0, 1, 2, 1):
+        write(rows.where(F.col("event_no") % 3 == n), n)
+    return sinks.read_ledger(spark, f"{out}/ledger").drop("completed_at")
+
+
+@query(
+    "snapshot_replaced",
+    "SELECT agent_id, COUNT(*) AS records FROM base WHERE event_no % 2 = 0 GROUP BY 1",
+)
+def snapshot_replaced(spark, folder):
+    """A stored table replaced as a whole by another one."""
+    rows = Telemetry(spark, folder).base.select("agent_id", "event_no")
+    path = scratch_path(spark, "snapshot")
+    for kept in ("event_no % 5 = 0", "event_no % 2 = 0"):
+        counts = rows.where(kept).groupBy("agent_id").agg(F.count("*").alias("records"))
+        sinks.replace_snapshot(counts, path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "state_log_appended",
+    """SELECT state_revision, status, COUNT(*) AS events FROM transitions GROUP BY 1, 2""",
+    RULE_SITES,
+)
+def state_log_appended(spark, folder):
+    """A log that holds the first two revisions takes all again: none is there twice."""
+    events = spark.read.parquet(_landed(spark, _state_log(_rules(spark, folder)), "state-log"))
+    log = events.where("state_revision <= 2")
+    whole = log.unionByName(L.append_absent(log, events.unionByName(events)))
+    return whole.groupBy("state_revision", "status").agg(F.count("*").alias("events"))
+
+
+@query(
+    "ingest_problems",
+    """SELECT 'no events of ' || agent_id AS problem FROM (
+  SELECT DISTINCT agent_id FROM agents WHERE agent_id NOT IN (SELECT agent_id FROM base))
+UNION ALL SELECT 'repeated event ids'
+UNION ALL SELECT 'no rows in late'""",
+)
+def ingest_problems(spark, folder):
+    """The ingest report over a log with replays, an empty typed table and silent agents."""
+    t = Telemetry(spark, folder)
+    raw = t.raw_log.unionByName(t.raw_log.where("event_no % 100 = 0"))
+    return Q.ingest_invariants(raw, {"probes": t.measurements, "late": t.checks.limit(0)}, t.agents)
+
+
+_STATES = ("invalid", "missing", "legitimately_empty", "stale", "delayed", "healthy")
+
+
+@query(
+    "source_states",
+    f"""SELECT day(event_time) AS day_no, list_extract({list(_STATES)}, CAST(day(event_time) % 6 AS INTEGER) + 1)
+  AS source_status FROM base GROUP BY 1, 2""",
+)
+def source_states(spark, folder):
+    """Each day's snapshot bent so that the gate meets every state in turn."""
+    base = Telemetry(spark, folder).base
+    at = F.dayofmonth("event_time").cast("bigint").alias("day_no")
+    case = F.col("day_no") % 6
+    days = base.groupBy(at).agg(F.count("*").alias("n"), F.max("event_time").alias("newest"))
+    zero = F.lit(0).cast("bigint")
+    older = F.timestamp_micros(F.unix_micros("newest") - F.lit(3_600_000_000))
+    rows = days.select(
+        "day_no",
+        F.when(case.isin(1, 2), zero).otherwise(F.col("n")).alias("observation_count"),
+        F.when(case == 2, zero).otherwise(F.col("n")).alias("relevant_raw_count"),
+        F.when(case == 2, zero).otherwise(F.col("n")).alias("heartbeat_count"),
+        F.when(case == 0, F.col("n")).otherwise(zero).alias("invalid_count"),
+        F.when(case == 3, older).otherwise(F.col("newest")).alias("latest_observation_at"),
+        F.col("newest").alias("latest_heartbeat_at"),
+        F.when(case == 4, F.lit(1e6)).otherwise(F.lit(1.0)).alias(
+            "maximum_ingestion_delay_seconds"
+        ),
+    )
+    return Q.source_status(rows).select("day_no", "source_status")
