@@ -94,6 +94,7 @@ def _envelope(times: T.DataType) -> list[T.StructField]:
     )
 
 
+# Fixed values from here to the thresholds: the field names of the records.
 MEASUREMENT_FIELDS = _fields(
     ("measurement_type", _S),
     ("target_id", _S),

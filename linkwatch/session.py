@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,18 @@ def build_session(app: str = "linkwatch", master: str | None = None, **conf: str
     return configure(builder.getOrCreate())
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, where it is not installed on them.
+
+    Python workers need it for stateful processors and per-batch functions.
+    """
+    root = Path(__file__).resolve().parent
+    # the driver serves this copy to executors as long as the application runs
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    archive = shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and staged tables.
 

@@ -192,3 +192,16 @@ def test_cluster_must_name_the_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake())
+
+
+def test_package_reaches_workers(spark):
+    from linkwatch import session
+
+    session.ship_package(spark)
+
+    def where(_):
+        import sys
+
+        return [any(p.endswith("linkwatch.zip") for p in sys.path)]
+
+    assert all(spark.sparkContext.parallelize(range(2), 2).mapPartitions(where).collect())
