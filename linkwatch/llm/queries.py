@@ -197,8 +197,74 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+# Rate 0.05 over five rules, confidence 0.95 over rules, strata and twelve cutoffs, penalty 10.
+QUALITY_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), runs AS (
+  SELECT doc_id, i, words[i : i + 7] AS run
+  FROM texts, unnest(generate_series(1, len(words) - 7)) AS t(i)
+), again AS (
+  SELECT doc_id, unnest(list(i)) AS i FROM runs GROUP BY doc_id, run HAVING count(*) > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM again, unnest(generate_series(i, i + 7)) AS t(p)
+  GROUP BY doc_id
+), measures AS (
+  SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclaims,
+    CAST(length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS BIGINT) AS n_capitals,
+    len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM texts LEFT JOIN repeated USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measures
+), shares AS (
+  SELECT doc_id, stratum, base_failed, unnest([
+    {'rule': 'symbols', 'share': n_symbols / nullif(word_chars, 0)},
+    {'rule': 'exclaims', 'share': n_exclaims / nullif(word_chars, 0)},
+    {'rule': 'capitals', 'share': n_capitals / nullif(word_chars, 0)},
+    {'rule': 'lines', 'share': n_dup_lines / nullif(n_lines, 0)},
+    {'rule': 'repeats', 'share': n_repeat_words / nullif(n_words, 0)}], recursive := true)
+  FROM judged
+), marks AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), known AS (
+  SELECT * FROM shares JOIN marks USING (doc_id) WHERE NOT base_failed
+), candidates AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad,
+    count(*) FILTER (good AND share > cutoff) AS good_lost,
+    count(*) FILTER (NOT good AND share > cutoff) AS bad_lost
+  FROM known, (SELECT unnest([0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]) AS cutoff)
+  GROUP BY ALL
+), tested AS (
+  SELECT *, bad_lost / nullif(n_bad, 0) - 10 * good_lost / nullif(n_good, 0) AS useful,
+    CASE WHEN good_lost >= n_good * 0.01 THEN 1 ELSE list_sum(list_transform(range(0, good_lost + 1),
+      lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1)
+        + i * ln(0.01) + (n_good - i) * ln(0.99)))) END AS tail
+  FROM candidates
+), chosen AS (
+  SELECT stratum, rule, arg_max(cutoff, {'u': useful, 'c': cutoff}) AS cutoff FROM tested
+  WHERE useful > 0
+    AND tail <= 0.05 / (5 * 12 * (SELECT count(DISTINCT stratum) FROM known))
+  GROUP BY ALL
+), broken AS (
+  SELECT DISTINCT doc_id FROM shares JOIN chosen USING (stratum, rule) WHERE share > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM judged
+"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": PASSAGE_SQL,
     "op2_jaccard_join": JACCARD_SQL,
+    "op7_quality_rules": QUALITY_SQL,
     "op9_chat_format": CHAT_SQL,
 }
