@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from linkwatch.sources import files
+
 # Runtime settings every job relies on.  UTC makes day windows start at UTC
 # midnight; AQE splits skewed join partitions and coalesces small ones.
 RUNTIME_CONF = {
@@ -79,6 +81,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this process put under the shared folder; returns the number of paths.
+
+    Results are lazy and may still read there: write or collect them first.
+    """
+    paths, _handed_out[:] = list(_handed_out), []
+    for path in paths:
+        files.delete(spark, path)
+    return len(paths)

@@ -205,3 +205,14 @@ def test_package_reaches_workers(spark):
         return [any(p.endswith("linkwatch.zip") for p in sys.path)]
 
     assert all(spark.sparkContext.parallelize(range(2), 2).mapPartitions(where).collect())
+
+
+def test_scratch_is_released(spark):
+    from linkwatch import session
+    from linkwatch.sources import files
+
+    path = session.scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert files.exists(spark, path)
+    assert session.release_scratch(spark) >= 1
+    assert not files.exists(spark, path) and session.release_scratch(spark) == 0
