@@ -343,9 +343,10 @@ def deduplicated(docs: DataFrame, rule: Passages = Passages()) -> DataFrame:
     joined = narrow.join(wanted, F.col("doc") == F.col("sid"))
     found = landed(segments(joined.select("doc", "row", "text", "anchors"), rule), "segments")
     texts = landed(references(found), "references")
-    bits = landed(marks(texts, rule), "marks")
+    bits = marks(texts, rule)
     owners = texts.select("anchor", "name", F.col("doc").alias("owner"))
-    owners = owners.join(bits, ["anchor", "name"], "left")
+    # written first, so that the join below shuffles both sides itself and can split hot segments
+    owners = landed(owners.join(bits, ["anchor", "name"], "left"), "owners")
     spans = found.select("anchor", "name", "doc", "row", "start", "n").join(
         owners, ["anchor", "name"]
     )
