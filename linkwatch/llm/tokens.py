@@ -19,6 +19,7 @@ _RUN = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 CACHED_STRETCHES = 600_000
 LONGEST_CACHED = 48
+ROW = 512
 
 
 def default_tokenizer() -> str:
@@ -43,6 +44,10 @@ class StretchEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), reserved + 1)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spelled = np.zeros(max(size, max(vocabulary.values()) + 1), np.int64)
+        for token, number in vocabulary.items():
+            self.spelled[number] = len(token)
         self.cached = cached
         self.first: dict[str, bytes] = {"": b""}
         self.later: dict[str, bytes] = {}
@@ -51,6 +56,32 @@ class StretchEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
+    def _ids_of_stretches(self, stretches: list[str]) -> list[bytes]:
+        """Ids of stretches that each follow a blank, encoded many in a row.
+
+        Tokens of this kind spell their bytes, so byte counts say where a
+        stretch ends.
+        """
+        out: list[bytes] = []
+        width = self.dtype.itemsize
+        rows = [stretches[i : i + ROW] for i in range(0, len(stretches), ROW)]
+        found = self.tokenizer.encode_batch_fast(
+            [" " + " ".join(row) for row in rows], add_special_tokens=False
+        )
+        for row, encoding in zip(rows, found, strict=True):
+            ids = np.array(encoding.ids, self.dtype)
+            ends = np.cumsum(self.spelled[ids])
+            wanted = np.cumsum([1 + (len(x) if x.isascii() else len(x.encode())) for x in row])
+            last = np.searchsorted(ends, wanted)
+            if not np.array_equal(ends[np.minimum(last, len(ends) - 1)], wanted):
+                out += self._ids([" " + x for x in row])
+                continue
+            blob, at = ids.tobytes(), 0
+            for end in ((last + 1) * width).tolist():
+                out.append(blob[at:end])
+                at = end
+        return out
+
     def _learn(self, memory: dict[str, bytes], wanted: set[str], blank: str) -> dict[str, bytes]:
         """The stretches of this batch that are not remembered; short ones are from now on."""
         if len(memory) > self.cached:
@@ -58,7 +89,8 @@ class StretchEncoder:
             memory[""] = self._ids([blank])[0] if blank else b""
         new = [x for x in wanted if x not in memory]
         extra = {}
-        for x, ids in zip(new, self._ids([blank + x for x in new]), strict=True):
+        found = self._ids_of_stretches(new) if blank else self._ids(new)
+        for x, ids in zip(new, found, strict=True):
             (memory if len(x) <= LONGEST_CACHED else extra)[x] = ids
         return extra
 
