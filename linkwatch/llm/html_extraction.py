@@ -315,8 +315,12 @@ def fitted(pages: DataFrame, rule: Training = Training()) -> Field:
     Without usable pages all weights are zero and no block is main text.
     """
     usable = F.col("html").isNotNull() & (F.length("html") <= rule.longest)
-    rows = pages.where(usable).orderBy(F.xxhash64("page_id"), "html").limit(rule.pages)
-    return train(labelled_pages([r.html for r in rows.select("html").collect()], rule), rule)
+    # ids are chosen first, so that tasks send the driver numbers and not pages
+    known = pages.where(usable & F.col("page_id").isNotNull()).select("page_id").distinct()
+    chosen = known.orderBy(F.xxhash64("page_id"), "page_id").limit(rule.pages)
+    rows = pages.where(usable).join(F.broadcast(chosen), "page_id").groupBy("page_id")
+    found = rows.agg(F.min("html").alias("html")).orderBy("page_id").collect()
+    return train(labelled_pages([r.html for r in found], rule), rule)
 
 
 def extracted(pages: DataFrame, field: Field) -> DataFrame:
