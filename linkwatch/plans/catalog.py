@@ -50,7 +50,7 @@ RANGE_SQL = "DATE '2024-01-05' AND DATE '2024-01-20'"
 CFG = S.Thresholds(
     lookback_seconds=6 * 3600, interval_seconds=3600, heartbeat_stale_seconds=12 * 3600
 )
-RULE_SITES = 2
+RULE_PAIRS = 40
 SLO_CADENCE = Cadence(6 * 3600, 900)
 SLO_SQL = {"look": 6 * 3600, "step": 900}
 
@@ -74,7 +74,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def query(name: str, sql: str | None = None, sites: int | None = None, extra=None):
+def query(name: str, sql: str | None = None, pairs: int | None = None, extra=None):
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +82,7 @@ def query(name: str, sql: str | None = None, sites: int | None = None, extra=Non
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = O.sql(sql, cfg=CFG, sites=sites, extra=extra)
+            ORACLES[name] = O.sql(sql, cfg=CFG, pairs=pairs, extra=extra)
         return run
 
     return register
@@ -439,7 +439,7 @@ def _transitions(t: Telemetry) -> DataFrame:
 
 
 def _rules(spark, folder) -> Telemetry:
-    return Telemetry(spark, folder, RULE_SITES)
+    return Telemetry(spark, folder, RULE_PAIRS)
 
 
 @query(
@@ -448,7 +448,7 @@ def _rules(spark, folder) -> Telemetry:
   probe_type AS measurement_type, sample_count, success_rate_pct, peak_latency_ms, mean_packet_loss_pct,
   weakest_signal_dbm, connected_rate_pct
 FROM summaries WHERE probe_type NOT IN ('dns','http')""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def measurement_summary(spark, folder):
     t = _rules(spark, folder)
@@ -459,7 +459,7 @@ def measurement_summary(spark, folder):
     "service_summary",
     f"""SELECT site_id, {ts('tick')} AS observed_at, agent_id, agent_role, endpoint_id, probe_type AS check_type,
   sample_count, success_rate_pct FROM summaries WHERE probe_type IN ('dns','http')""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def service_summary(spark, folder):
     t = _rules(spark, folder)
@@ -470,7 +470,7 @@ def service_summary(spark, folder):
     "heartbeat_latest",
     f"""SELECT site_id, {ts('tick')} AS observed_at, agent_id, agent_role, {ts('last_event_time')} AS last_event_time
 FROM latest_heartbeats""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def heartbeat_latest(spark, folder):
     t = _rules(spark, folder)
@@ -489,7 +489,7 @@ def heartbeat_latest(spark, folder):
     f"""SELECT site_id, {ts('tick')} AS observed_at, incident_key, incident_type, severity, confidence_score,
   agents AS affected_agents, endpoints AS affected_endpoints, evidence_rows, peak_latency_ms,
   maximum_packet_loss_pct, summary FROM findings""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def findings(spark, folder):
     rows = _findings(_rules(spark, folder))
@@ -521,7 +521,7 @@ _TRANSITIONS_SQL = f"""SELECT incident_id, site_id, incident_key, {ts('observed_
   peak_latency_ms, maximum_packet_loss_pct FROM transitions"""
 
 
-@query("incident_transitions", _TRANSITIONS_SQL, RULE_SITES)
+@query("incident_transitions", _TRANSITIONS_SQL, RULE_PAIRS)
 def incident_transitions(spark, folder):
     return _transitions(_rules(spark, folder)).select(*_TRANSITION_COLUMNS)
 
@@ -536,7 +536,7 @@ def _incidents(t: Telemetry) -> DataFrame:
   {ts('end_time')} AS end_time, status, severity, agents AS affected_agents, endpoints AS affected_endpoints,
   peak_latency_ms, maximum_packet_loss_pct, state_revision, {ts('last_observed_at')} AS last_observed_at, duration_ms
 FROM incidents""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def incidents_current(spark, folder):
     return _incidents(_rules(spark, folder)).select(
@@ -550,7 +550,7 @@ def incidents_current(spark, folder):
     "active_incidents",
     f"""SELECT incident_id, incident_key, {ts('start_time')} AS start_time, status FROM incidents
 WHERE status <> 'resolved'""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def active_incidents(spark, folder):
     return L.active(_incidents(_rules(spark, folder))).select(
@@ -566,7 +566,7 @@ def active_incidents(spark, folder):
   FROM transitions, (SELECT unnest([2, 3, 5, 13, 24]) AS d)
   WHERE observed_at <= TIMESTAMP '{FIRST} 12:00:00' + to_days(CAST(d - 1 AS INTEGER)))
 WHERE n = 1 AND status <> 'resolved'""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def active_incidents_at_noon(spark, folder):
     """What was active at noon of some days, from the transitions up to then."""
@@ -603,7 +603,7 @@ def _acks(log: DataFrame) -> DataFrame:
   {ts('t.observed_at')} AS event_time, (epoch_us(t.observed_at) - epoch_us(t.start_time)) / 1000.0 AS duration_ms,
   '1.0.0' AS rule_version, 'system_classifier' AS agent_role
 FROM transitions t JOIN state_log l ON l.incident_id = t.incident_id AND l.state_revision = t.state_revision""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def incident_events(spark, folder):
     return L.incident_events(_transitions(_rules(spark, folder))).select(
@@ -617,7 +617,7 @@ def incident_events(spark, folder):
     f"""SELECT event_id, incident_id, state_revision, status, {ts('event_time')} AS event_time FROM (
   SELECT * FROM state_log WHERE event_id NOT IN (SELECT event_id FROM acks)
   ORDER BY event_time, incident_id, state_revision LIMIT 100)""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def pending_publications(spark, folder):
     log = _state_log(_rules(spark, folder))
@@ -627,7 +627,7 @@ def pending_publications(spark, folder):
 @query(
     "lifecycle_states",
     "SELECT incident_id, string_agg(status, ',' ORDER BY state_revision) AS states FROM transitions GROUP BY incident_id",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def lifecycle_states(spark, folder):
     return Q.observed_states(_state_log(_rules(spark, folder)))
@@ -715,18 +715,18 @@ def dim_agent_scd1(spark, folder):
     "fact_incident",
     f"""SELECT incident_id, {ts('start_time')} AS start_time, {ts('end_time')} AS end_time, status, incident_type,
   severity, duration_ms, '1.0.0' AS rule_version, state_revision FROM incidents""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def fact_incident(spark, folder):
     return D.incident_fact(_incidents(_rules(spark, folder))).drop("confidence_score")
 
 
-@query("bridge_incident_agent", "SELECT incident_id, agent_id FROM bridge_agents", RULE_SITES)
+@query("bridge_incident_agent", "SELECT incident_id, agent_id FROM bridge_agents", RULE_PAIRS)
 def bridge_incident_agent(spark, folder):
     return D.bridge(_incidents(_rules(spark, folder)), "affected_agents", "agent_id")
 
 
-@query("bridge_incident_endpoint", "SELECT incident_id, endpoint_id FROM bridge_endpoints", RULE_SITES)
+@query("bridge_incident_endpoint", "SELECT incident_id, endpoint_id FROM bridge_endpoints", RULE_PAIRS)
 def bridge_incident_endpoint(spark, folder):
     return D.bridge(_incidents(_rules(spark, folder)), "affected_endpoints", "endpoint_id")
 
@@ -747,7 +747,7 @@ def _incident_view(t: Telemetry) -> DataFrame:
     "incident_summary",
     f"""SELECT incident_id, {ts('start_time')} AS start_time, {ts('end_time')} AS end_time, status, incident_type,
   severity, duration_ms, state_revision, affected_agent_count, affected_endpoint_count FROM incident_view""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def incident_summary(spark, folder):
     view = P.current_incidents(_incident_view(_rules(spark, folder)))
@@ -801,7 +801,7 @@ _STATUS_PARTS = {
   letters AS pending_dead_letter_count, stream AS stream_processing_failure_count,
   {ts('last_batch')} AS last_stream_batch_completed_at, active AS active_incident_count,
   waiting AS pending_incident_publication_count FROM status_row""",
-    RULE_SITES,
+    RULE_PAIRS,
     _STATUS_PARTS,
 )
 def ingest_status(spark, folder):
@@ -969,7 +969,7 @@ def reconcile_daily(spark, folder):
     "reconcile_incidents",
     """SELECT COUNT(*) AS source_rows, COUNT(*) FILTER (WHERE incident_type <> 'dns_failure') AS fact_rows,
   COUNT(*) FILTER (WHERE incident_type IN ('dns_failure','wifi_outage')) AS mismatch_rows FROM incidents""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def reconcile_incidents(spark, folder):
     """Against a fact without the DNS failures and sources that repeat an agent."""
@@ -1226,7 +1226,7 @@ def export_agents(spark, folder):
     f"""SELECT incident_id, incident_type, {O.iso('start_time', 'Z')} AS start_time_utc,
   CASE WHEN end_time IS NOT NULL THEN {O.iso('end_time', 'Z')} END AS end_time_utc, duration_ms, status, severity,
   '1.0.0' AS rule_version, state_revision, affected_agent_count, affected_endpoint_count FROM incident_view""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def export_incidents(spark, folder):
     view = _incident_view(_rules(spark, folder))
@@ -1241,7 +1241,7 @@ def export_incidents(spark, folder):
   letters AS pending_dead_letter_count, stream AS stream_processing_failure_count,
   {O.iso('last_batch', 'Z')} AS last_stream_batch_completed_at_utc, active AS active_incident_count,
   waiting AS pending_incident_publication_count FROM status_row""",
-    RULE_SITES,
+    RULE_PAIRS,
     _STATUS_PARTS,
 )
 def export_health(spark, folder):
@@ -1560,7 +1560,7 @@ def stream_rejects(spark, folder):
     )
 
 
-@query("stream_lifecycle", _TRANSITIONS_SQL, RULE_SITES)
+@query("stream_lifecycle", _TRANSITIONS_SQL, RULE_PAIRS)
 def stream_lifecycle(spark, folder):
     """The keyed-state lifecycle over landed evaluations."""
     return _stream_lifecycle(spark, folder)
@@ -1598,7 +1598,7 @@ def _stream_lifecycle(spark, folder, files: int | None = None):
     return spark.read.parquet(f"{out}/transitions").select(*_TRANSITION_COLUMNS)
 
 
-@query("stream_lifecycle_unordered", _TRANSITIONS_SQL, RULE_SITES)
+@query("stream_lifecycle_unordered", _TRANSITIONS_SQL, RULE_PAIRS)
 def stream_lifecycle_unordered(spark, folder):
     """The same over several triggers whose files hold the evaluations in no order."""
     return _stream_lifecycle(spark, folder, files=6)
@@ -1612,7 +1612,7 @@ UNION ALL SELECT 'daily_reliability', (SELECT COUNT(*) FROM (SELECT DISTINCT dat
     probe_type FROM role_rows)), NULL
 UNION ALL SELECT 'incidents', (SELECT COUNT(*) FROM incidents), NULL
 UNION ALL SELECT 'pipeline_health', 1, NULL""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def csv_roundtrip(spark, folder):
     """The four extracts written, promoted, and read back for verification."""
@@ -1692,7 +1692,7 @@ def snapshot_replaced(spark, folder):
 @query(
     "state_log_appended",
     """SELECT state_revision, status, COUNT(*) AS events FROM transitions GROUP BY 1, 2""",
-    RULE_SITES,
+    RULE_PAIRS,
 )
 def state_log_appended(spark, folder):
     """A log that holds the first two revisions takes all again: none is there twice."""

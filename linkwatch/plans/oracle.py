@@ -56,16 +56,16 @@ def pseudonym(expression: str) -> str:
     return f"'agent_' || substr(sha256('linkwatch-agent-v1' || chr(0) || {expression}), 1, 12)"
 
 
-def identity(number: str, sites: int | None) -> str:
+def identity(number: str, pairs: int | None) -> str:
     site = f"({number} - {number} % 2) // 2"
-    if sites:
-        site = f"({site}) % {sites}"
+    if pairs:
+        site = f"({site}) // {pairs}"
     return f"""'site-' || CAST({site} AS VARCHAR) AS site_id,
       CASE WHEN {number} % 2 = 0 THEN 'wired-' ELSE 'wifi-' END || CAST({site} AS VARCHAR) AS agent_id,
       CASE WHEN {number} % 2 = 0 THEN '{S.WIRED}' ELSE '{S.WIFI}' END AS agent_role"""
 
 
-def telemetry(sites: int | None) -> dict[str, str]:
+def telemetry(pairs: int | None) -> dict[str, str]:
     return {
         "base": f"""
     SELECT event_id AS event_no,
@@ -80,7 +80,7 @@ def telemetry(sites: int | None) -> dict[str, str]:
         ELSE CASE WHEN day(ts) % 10 = 9 AND user_id % 2 = 1 THEN 'router_ping'
           ELSE 'heartbeat' END END AS kind,
       day(ts) % 10 AS sc,
-      {identity('user_id', sites)}
+      {identity('user_id', pairs)}
     FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events)""",
         "measurements": f"""
   SELECT event_no, event_id, site_id, agent_id, agent_role, event_time, kind AS measurement_type,
@@ -124,7 +124,7 @@ def telemetry(sites: int | None) -> dict[str, str]:
   FROM base WHERE kind = 'speed_test'""",
         "agents": f"""
   SELECT agent_id, agent_role, site_id, MIN(c_name) AS display_name, MAX(c_acctbal) > 0 AS enabled
-  FROM (SELECT c_name, c_acctbal, {identity('c_custkey', sites)} FROM customer)
+  FROM (SELECT c_name, c_acctbal, {identity('c_custkey', pairs)} FROM customer)
   GROUP BY ALL""",
         "endpoints": """
   SELECT * FROM (VALUES ('router','router','Local router',TRUE), ('public-a','external_ip','Public address',TRUE),
@@ -509,10 +509,10 @@ DAILY = {
 }
 
 
-def sql(body: str, *, cfg: S.Thresholds, sites: int | None, extra: dict[str, str] | None = None) -> str:
+def sql(body: str, *, cfg: S.Thresholds, pairs: int | None, extra: dict[str, str] | None = None) -> str:
     """The query with every table expression it mentions, directly or not, in front."""
     parts = {
-        **telemetry(sites),
+        **telemetry(pairs),
         **RECORDS,
         **WINDOWS,
         **rules(cfg),

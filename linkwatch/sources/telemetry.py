@@ -1,9 +1,9 @@
 """Telemetry views over the generic ``events`` and ``customer`` tables.
 
 Every view is a set of plain column expressions over a scan, so it stays a
-narrow projection of the file.  ``sites`` folds the users onto that many sites
-with one wired and one Wi-Fi agent each; left out, every pair of users is a
-site of its own, so the number of agents grows with the data.
+narrow projection of the file.  ``pairs`` folds that many pairs of users onto one
+site with one wired and one Wi-Fi agent; left out, every pair of users is a
+site of its own.  Either way the number of sites grows with the data.
 """
 
 from __future__ import annotations
@@ -38,15 +38,15 @@ def _half(number: Column) -> Column:
 
 
 class Telemetry:
-    def __init__(self, spark: SparkSession, folder: str, sites: int | None = None) -> None:
+    def __init__(self, spark: SparkSession, folder: str, pairs: int | None = None) -> None:
         self.spark = spark
         self.folder = folder
-        self.sites = sites
+        self.pairs = pairs
 
     def _identity(self, number: Column) -> dict[str, Column]:
         site = _half(number).cast("bigint")
-        if self.sites:
-            site = F.pmod(site, F.lit(self.sites))
+        if self.pairs:
+            site = F.floor(site / F.lit(self.pairs)).cast("bigint")
         wired = F.pmod(number, F.lit(2)) == 0
         return {
             "site_id": F.concat(F.lit("site-"), site),
