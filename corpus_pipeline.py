@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwatch.llm.common import fresh, landed, table
-from linkwatch.llm.decontamination import clean_documents
+from linkwatch.llm.decontamination import LEAKS, clean_documents
 from linkwatch.llm.packing import pack_documents
 from linkwatch.llm.parity_join import Similarity, similar_components
 from linkwatch.llm.quality_rules import kept_documents
@@ -51,8 +51,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item stands."""
-    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    """Documents in which no benchmark item stands, whole, cut short or edited."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"), LEAKS)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ A passage is a run of words with an overlap as long as the longest item, so an
 item that stands in a document stands whole in one of them.  Scores are divided
 by the score an item gives itself; all items above a share of it are retrieved.
 What is retrieved counts when enough of the item's question and of its answer
-stand in the passage word for word.
+stand in the passage word for word, or, with ``LEAKS``, enough of the item as a
+whole or one long run of its words: an item that is cut short or edited.
 """
 
 from __future__ import annotations
@@ -41,7 +42,11 @@ HITS = (
 
 @dataclass(frozen=True)
 class Overlap:
-    """``score`` is a share of an item's own BM25 score; overlaps are shares of word groups."""
+    """``score`` is a share of an item's own BM25 score; overlaps are shares of word groups.
+
+    With ``whole`` that share of all groups of an item counts as well, and with
+    ``run`` so many of its words in a row, or half of the words of a shorter item.
+    """
 
     score: float = 0.6
     question: float = 0.5
@@ -50,6 +55,12 @@ class Overlap:
     answer_share: float = 0.25
     k1: float = 1.2
     b: float = 0.75
+    whole: float | None = None
+    run: int | None = None
+
+
+# what the registered query and the pipeline count
+LEAKS = Overlap(whole=0.5, run=13)
 
 
 @dataclass
@@ -61,6 +72,7 @@ class Index:
     items: list[int]
     question: list[np.ndarray]
     answer: list[np.ndarray]
+    words: list[np.ndarray]
     passage: int
     common: np.ndarray  # terms that cannot reach the threshold without others
     bounds: tuple[np.ndarray, np.ndarray, np.ndarray]  # other terms: places, blocks, block maxima
@@ -85,7 +97,7 @@ def build_index(
     rule: Overlap,
 ) -> Index:
     """The last words of an item are its answer, those before it its question."""
-    kept, questions, answers, impacts = [], [], [], []
+    kept, questions, answers, wholes, impacts = [], [], [], [], []
     longest = 1
     for item, text in rows:
         words = Words([text], plain=True)
@@ -96,6 +108,7 @@ def build_index(
         split = n - max(1, math.ceil(rule.answer_share * n))
         questions.append(_groups(words.hash[:split], rule.group) if split else np.zeros(0, _U))
         answers.append(_groups(words.hash[split:], rule.group))
+        wholes.append(words.hash)
         spans = zip(words.start.tolist(), words.end.tolist(), strict=True)
         counts = Counter(words.data[a:b] for a, b in spans)
         lengthened = rule.k1 * (1 - rule.b + rule.b * n / mean_length)
@@ -159,6 +172,7 @@ def build_index(
         kept,
         questions,
         answers,
+        wholes,
         max(LEAST_PASSAGE, longest),
         common,
         (np.array(places), np.array(blocks, np.int64), np.array(maxima, np.float64)),
@@ -243,6 +257,19 @@ def search(index: Index, terms: list[int], least: float) -> list[tuple[int, floa
     return found
 
 
+def stands(item: np.ndarray, passage: np.ndarray, rule: Overlap) -> bool:
+    """Enough of the item as a whole, or a long enough run of it, is in the passage."""
+    if rule.whole is not None:
+        groups = _groups(item, rule.group)
+        size = min(rule.group, len(item))
+        if np.isin(groups, windows(passage, size)).mean() >= rule.whole:
+            return True
+    if rule.run is None:
+        return False
+    run = min(rule.run, max(len(item) // 2, min(rule.group, len(item))))
+    return len(passage) >= run and bool(np.isin(windows(item, run), windows(passage, run)).any())
+
+
 def passage_hits(index: Index, docs: DataFrame, rule: Overlap) -> DataFrame:
     """(doc, item) pairs that are retrieved and verified, best passage first."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -269,7 +296,8 @@ def passage_hits(index: Index, docs: DataFrame, rule: Overlap) -> DataFrame:
                         q = np.isin(asked, own).mean() if len(asked) else 1.0
                         s = np.isin(said, own).mean() if len(said) else 1.0
                         if q < rule.question or s < rule.answer:
-                            continue
+                            if not stands(index.words[i], words.hash[a:b], rule):
+                                continue
                         key = (ids[o], index.items[i])
                         row = (score, float(q), float(s), a - int(words.first[o]))
                         if key not in best or row > best[key]:

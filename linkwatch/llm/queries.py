@@ -11,7 +11,7 @@ from linkwatch.llm import html_extraction
 from linkwatch.llm.chat_format import digests, formatted
 from linkwatch.llm.common import SPACE_CHARS, SPACE_CLASS, table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
-from linkwatch.llm.decontamination import contaminated
+from linkwatch.llm.decontamination import LEAKS, contaminated
 from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
 from linkwatch.llm.parity_join import Similarity, similar_components
@@ -37,7 +37,7 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), LEAKS)
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:

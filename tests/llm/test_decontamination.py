@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkwatch.llm import decontamination
 from linkwatch.llm.decontamination import (
+    LEAKS,
     Overlap,
     build_index,
     clean_documents,
@@ -103,6 +104,39 @@ def test_question_alone_is_not_enough(spark, docs_of, rng):
     assert {r.doc_id for r in clean_documents(docs, benchmark).collect()} == {1, None}
 
 
+def test_cut_and_edited_items_are_found(spark, docs_of, rng):
+    """Items of 12 to 60 words, cut at either end or with a word changed anywhere."""
+    items = [(i, prose(rng, n, 5000)) for i, n in enumerate((12, 16, 20, 24, 28, 40, 60))]
+    rows, want = {}, set()
+
+    def plant(item, words):
+        doc = len(rows)
+        rows[doc] = prose(rng, 90, 5000) + words + prose(rng, 90, 5000)
+        want.add((doc, item))
+
+    for i, words in items:
+        most = len(words) * 3 // 4
+        plant(i, words[:most])
+        plant(i, words[-most:])
+        for at in range(0, len(words), 3):
+            plant(i, words[:at] + ["other"] + words[at + 1 :])
+        plant(i, words[: len(words) - 3] + ["other"] + words[len(words) - 2 :])
+        plant(i, words[:5] + ["more"] + words[5:])
+    for _ in range(30):
+        rows[len(rows)] = prose(rng, 200, 5000)
+    for i, words in items:  # words of an item in another order are not the item
+        rows[len(rows)] = prose(rng, 90, 5000) + rng.sample(words, len(words)) + prose(rng, 90, 5000)
+    benchmark = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in items], "item_id long, text string"
+    )
+    docs = docs_of([(i, " ".join(w)) for i, w in rows.items()])
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, benchmark, LEAKS).collect()}
+    assert found == want
+    assert {r.doc_id for r in clean_documents(docs, benchmark, LEAKS).collect()} == {
+        i for i in rows if i not in {d for d, _ in want}
+    }
+
+
 def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(docs_of([(1, "a b c")]), none).count() == 0
