@@ -15,6 +15,7 @@ different components are all tested.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -35,6 +36,7 @@ SEGMENT_BITS = 20
 LEAST_SKETCH = 256
 BLOCK = 1024
 STAR = 256
+SCANNED = 4096
 # a list of wanted texts is sent to all executors up to this many rows of five numbers
 BROADCAST_ROWS = 400_000
 
@@ -70,18 +72,33 @@ class Band:
     spare: int
 
 
+def _exceeded(mean: float, k: int) -> float:
+    """Probability that a Poisson number of this mean is above ``k``; no more than 1."""
+    if not mean:
+        return 0.0
+    term = math.exp(min(0.0, (k + 1) * math.log(mean) - mean - math.lgamma(k + 2)))
+    total, at = 0.0, k + 1
+    # terms rise up to the mean and then fall; those left out are too small to count
+    while total < 1 and (at <= mean or term > 1e-12):
+        total += term
+        at += 1
+        term *= mean / at
+    return min(1.0, total)
+
+
 def _spare(low: int, most: int) -> int:
     """Empty segments that a set of the least size exceeds about once in ten thousand."""
-    for spare in range(1, most + low + 2):
+
+    def enough(spare: int) -> bool:
         m = most + 1 + spare
         mean = m * math.exp(-low / m)
-        term = total = math.exp(-mean)
-        for k in range(1, spare + 1):
-            term *= mean / k
-            total += term
-        if 1 - total < 1e-4:
-            return spare
-    return most + low + 1
+        return spare > mean and _exceeded(mean, spare) < 1e-4
+
+    last = most + low + 1
+    if last < SCANNED:
+        return next((x for x in range(1, last) if enough(x)), last)
+    # large sets: once enough, more are enough too
+    return bisect_left(range(last), True, lo=1, key=enough)
 
 
 @lru_cache(maxsize=100_000)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -131,6 +133,35 @@ def test_bands_cover_every_linked_pair():
             assert shared or RULE.apart(a, b) == 0
 
 
+@pytest.mark.parametrize("rule", [RULE, Similarity(words=5, num=80)])
+def test_bands_of_very_large_sets_are_found_in_time(rule):
+    begun = time.process_time()
+    for size in (700_000, 5_000_000):
+        bands = band_of(size, rule)
+        assert bands
+        for band in bands:
+            mean = band.segments * math.exp(-band.low / band.segments)
+            assert 3 * math.sqrt(mean) < band.spare - mean < 5 * math.sqrt(mean)
+    assert time.process_time() - begun < 20
+
+
+def test_spare_segments_of_small_bands_by_summing():
+    for low in (*range(1, 60), 200, 1000, 3000):
+        for rule in (RULE, Similarity(words=5, num=80)):
+            most = rule.apart(low, rule.largest(low))
+            spare = 0
+            for spare in range(1, most + low + 2):
+                m = most + 1 + spare
+                mean = m * math.exp(-low / m)
+                term = total = math.exp(-mean)
+                for k in range(1, spare + 1):
+                    term *= mean / k
+                    total += term
+                if 1 - total < 1e-4:
+                    break
+            assert parity_join._spare(low, most) == spare
+
+
 def test_components_of_a_long_path(spark):
     n = 300
     edges = [(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1000), (5, 5)]
