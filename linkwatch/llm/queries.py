@@ -22,7 +22,8 @@ from linkwatch.llm.tokens import default_tokenizer
 from linkwatch.session import scratch_path
 
 END_ID = 2
-SEQUENCE = Capacities(tokens=1024)
+# tokens are the only hard limit; runs and attention cost have a say in the choice of a bin
+SEQUENCE = Capacities(tokens=1024, weights=(1.0, 1.0, 1.0))
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

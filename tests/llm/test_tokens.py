@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from linkwatch.llm.packing import Capacities, pack_documents, plan_bins
+from linkwatch.llm.queries import SEQUENCE
 from linkwatch.llm.token_files import read_token_files, write_token_files
 from linkwatch.llm.tokens import StretchEncoder, default_tokenizer
 from tests.llm.conftest import ODD_TEXTS, prose
@@ -124,3 +125,12 @@ def test_plan_does_not_grow_with_the_counts():
     for h, plan in ((small, a), (large, b)):
         for n, c in h.items():
             assert plan[plan[:, 0] == n, 2].sum() == c
+
+
+def test_registered_packing_weighs_all_capacities():
+    """By tokens alone the run of 100 would join the two of 350, whose bin is fuller."""
+    histogram = {690: 1, 350: 2, 100: 1}
+    bins = lambda c: {int(x[0]): int(x[3]) for x in plan_bins(histogram, c)}
+    by_tokens, by_all = bins(Capacities(tokens=1024)), bins(SEQUENCE)
+    assert by_tokens[100] == by_tokens[350] != by_tokens[690]
+    assert by_all[100] == by_all[690] != by_all[350]
