@@ -16,10 +16,20 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # HTML's void, raw-text and inline elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template iframe noembed noframes svg math".split())
+RAW = frozenset("script style title textarea".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike"
-    " strong sub sup time tt u var wbr img br label".split()
+    " strong sub sup time tt u var wbr img br label"
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose"
+    " msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd"
+    " maction semantics annotation annotation-xml".split()
+)
+# Elements of a drawing: those that hold text are blocks, the others only draw.
+DRAWN_TEXT = frozenset("text desc foreignobject".split())
+DRAWING = DRAWN_TEXT | frozenset(
+    "svg a g defs symbol use path rect circle ellipse line polyline polygon image marker mask pattern"
+    " clippath lineargradient radialgradient stop filter switch view metadata tspan textpath set mpath"
+    " animate animatemotion animatetransform".split()
 )
 # a start tag of the key closes open elements of these kinds
 CLOSES = {
@@ -54,21 +64,24 @@ def blocks_of(page: str | None) -> list[Block]:
     """Blocks in page order; white space is one blank, references are decoded.
 
     Unclosed elements end where HTML ends them, a page that breaks off ends
-    there.  Comments, scripts, styles and the title have no blocks.
+    there.  Comments, scripts, styles, text areas and the title have no blocks.
+    Formulas are part of the text around them; texts of a drawing are blocks of
+    their own, and an element that no drawing holds ends one that is open.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
+    where: tuple[tuple[str, tuple[str, ...]], ...] | None = None
     linked = links = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, where
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, tuple(x for x in stack if x[0] not in INLINE), linked))
+                out.append(Block(text, where or (), linked))
             parts.clear()
-        linked = 0
+        linked, where = 0, None
 
     def close(kinds: set[str]) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -86,6 +99,9 @@ def blocks_of(page: str | None) -> list[Block]:
         if piece:
             piece = html.unescape(piece) if "&" in piece else piece
             parts.append(piece)
+            if where is None and not piece.isspace():
+                # a drawing opens without an end of the block around it
+                where = tuple(x for x in stack if x[0] not in INLINE)
             if links:
                 linked += len(piece.strip())
         if not m:
@@ -100,7 +116,7 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag == "a":
                 links = max(0, links - 1)
             if any(x[0] == tag for x in stack):
-                if tag not in INLINE:
+                if tag not in INLINE and (tag not in DRAWING or tag in DRAWN_TEXT):
                     flush()
                 while stack.pop()[0] != tag:
                     pass
@@ -112,7 +128,23 @@ def blocks_of(page: str | None) -> list[Block]:
             end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
             at = len(page) if end < 0 else end
             continue
-        if tag == "br":
+        open_drawing = next((i for i, x in enumerate(stack) if x[0] == "svg"), None)
+        if open_drawing is not None and not any(x[0] == "foreignobject" for x in stack):
+            if tag in DRAWING or tag[:2] == "fe" or ":" in tag:
+                if tag in DRAWN_TEXT:
+                    flush()
+                if tag == "a":
+                    links += 1
+                if not m[3].endswith("/"):
+                    stack.append(_attributes(tag, m[3]))
+                continue
+            flush()
+            del stack[open_drawing:]
+        if tag == "svg":
+            if not m[3].endswith("/"):
+                stack.append(_attributes(tag, m[3]))
+            continue
+        if tag in ("br", "mtd"):
             parts.append(" ")
         if tag in VOID:
             if tag == "hr":

@@ -39,6 +39,30 @@ def test_blocks(page, texts):
     assert [b.text for b in blocks_of(page)] == texts
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p><p>z", ["if x=2 then", "z"]),
+        ("<p>if <math><mi>x</mi> then</p><p>z</p>w", ["if x then", "z", "w"]),
+        ("<p>a <svg><path d='M0'/></svg> b</p>c", ["a b", "c"]),
+        ("<p>a</p><svg><g><text>one</text><text>two</text></g></svg><p>b</p>", ["a", "one", "two", "b"]),
+        ("<p>a <svg><path d='M0'> b</p><p>c</p>d", ["a b", "c", "d"]),
+        ("<div><svg><g><p>c</p></div><p>d", ["c", "d"]),
+        ("<p>a</p><template><p>b</p></template><iframe>c</iframe><p>d", ["a", "b", "c", "d"]),
+        ("<template><p>b<noframes>c<noembed>d<iframe>e", ["b", "c", "d", "e"]),
+        ("<p>a</p><textarea>b</textarea><style>c</style><title>d</title><p>e<script>f", ["a", "e"]),
+    ],
+)
+def test_formulas_drawings_and_templates_keep_their_text(page, texts):
+    assert [b.text for b in blocks_of(page)] == texts
+
+
+def test_paths_around_drawings():
+    page = "<main>a <svg><text>b</text></svg> c<svg><path d=''><p>d</p></main>e"
+    paths = {b.text: [x[0] for x in b.path] for b in blocks_of(page)}
+    assert paths == {"a": ["main"], "b": ["main", "svg", "text"], "c": ["main"], "d": ["main", "p"], "e": []}
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     return spark.read.parquet(f"{FOLDER}/pages.parquet")
