@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from linkwatch.llm import html_extraction
 from linkwatch.llm.chat_format import digests, formatted
+from linkwatch.llm.circulant_minhash import NearRule, near_components
 from linkwatch.llm.common import SPACE_CHARS, SPACE_CLASS, table
 from linkwatch.llm.compression_classifier import bucket, fitted, scored
 from linkwatch.llm.decontamination import LEAKS, contaminated
+from linkwatch.llm.lexical_search import ranked
 from linkwatch.llm.license_scan import document_frequencies, scanned
 from linkwatch.llm.packing import Capacities, pack_documents
 from linkwatch.llm.parity_join import Similarity, similar_components
 from linkwatch.llm.quality_rules import base_failed, quality_verdicts
 from linkwatch.llm.substring_dedup import Passages, deduplicated
+from linkwatch.llm.token_alignment import aligned_tokens
 from linkwatch.llm.token_files import read_token_files, write_token_files
 from linkwatch.llm.tokens import default_tokenizer
 from linkwatch.session import scratch_path
@@ -110,6 +113,18 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, where, manifest).drop("partition")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return aligned_tokens(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 50)
+
+
+def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(table(spark, folder, "documents"), NearRule(words=5, num=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -121,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_classifier": op8_compression_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_token_files": op10_token_files,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 # The marks of a turn and their two blanks have 17, 15 and 14 characters.
@@ -198,6 +216,73 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+NEAR_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, words[i : i + 4] AS shingle
+  FROM texts, unnest(generate_series(1, greatest(1, len(words) - 4))) AS t(i)
+  WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles AS a JOIN shingles AS b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM texts
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+SEARCH_SQL = r"""
+WITH documents_ AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM benchmark
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms
+  FROM documents_ WHERE len(terms) > 0
+), counts AS (
+  SELECT d, doc_id, len(terms) AS n, unnest(terms) AS term FROM documents_
+), postings AS (
+  SELECT d, any_value(doc_id) AS doc_id, term, any_value(n) AS n, count(*) AS tf
+  FROM counts GROUP BY d, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, n_docs
+), impacts AS (
+  SELECT d, doc_id, term,
+    (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)) AS impact
+  FROM postings, totals
+), scores AS (
+  SELECT i, item_id, d, doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+  FROM (SELECT i, item_id, unnest(terms) AS term FROM items)
+  JOIN weights USING (term) JOIN impacts USING (term)
+  GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
+
 # Rate 0.05 over five rules, confidence 0.95 over rules, strata and twelve cutoffs, penalty 10.
 QUALITY_SQL = r"""
 WITH texts AS (
@@ -268,4 +353,6 @@ ORACLES: dict[str, str] = {
     "op2_jaccard_join": JACCARD_SQL,
     "op7_quality_rules": QUALITY_SQL,
     "op9_chat_format": CHAT_SQL,
+    "op12_lexical_search": SEARCH_SQL,
+    "op13_minhash_dedup": NEAR_SQL,
 }
