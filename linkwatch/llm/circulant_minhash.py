@@ -394,6 +394,8 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
             large = cut_again(rows.where("blocks > 1"), nodes, rule)
             rows = rows.where("blocks = 1").unionByName(unresolved(large, nodes, parts), True)
         rows = landed(rows, "unresolved")
+        if not rows.limit(1).count():
+            break
         more = near_pairs(cross_pairs(rows, nodes, rule, forest), nodes, rule)
         new = landed(verified(more, docs, rule), "links")
         if new.limit(1).count():
