@@ -17,8 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,6 +34,7 @@ _ODD = re.compile(r" (?=\s|\Z)")
 CACHED_STRETCHES = 200_000
 LONGEST_CACHED = 48
 SLICE = 256
+ROW = 1024
 # keys that a task counts before it passes them on
 COUNTED = 2_000_000
 # the most frequent id pairs, sent to every executor as 16 bytes each; the others are joined
@@ -56,41 +56,54 @@ def default_tokenizers() -> Tokenizers:
     return Tokenizers(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
 
 
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Places (i, j) with a[i] == b[j] of two rising lists; the shorter drives the search."""
-    if len(a) > len(b):
-        return [(i, j) for j, i in common_ends(b, a)]
-    out, low, n = [], 0, len(b)
-    for i, end in enumerate(a):
-        high, step = low, 1
-        while high < n and b[high] < end:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(b, end, low, min(high, n))
-        if low == n:
-            break
-        if b[low] == end:
-            out.append((i, low))
-            low += 1
-    return out
-
+def gallop(ends: np.ndarray, others: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """For each end the first place from its ``low`` on where ``others`` is not below it.
 
-def overlaps(a: Sequence[int], b: Sequence[int]) -> list[range]:
-    """For each token of ``a`` the tokens of ``b`` that share bytes with it, from ends alone."""
-    out, start = [], 0
-    for end in a:
-        out.append(range(bisect_right(b, start), bisect_left(b, end) + 1))
-        start = end
-    return out
+    All ends search at once: steps double until the place is passed, then the
+    last step is halved.
+    """
+    low, n, step = low.copy(), len(others), 1
+    high, active = low.copy(), np.arange(len(ends))
+    while True:
+        active = active[high[active] < n]
+        active = active[others[high[active]] < ends[active]]
+        if not len(active):
+            break
+        low[active] = high[active] + 1
+        high[active] += step
+        step *= 2
+    np.minimum(high, n, out=high)
+    active = np.flatnonzero(low < high)
+    while len(active):
+        middle = (low[active] + high[active]) // 2
+        below = others[middle] < ends[active]
+        low[active[below]] = middle[below] + 1
+        high[active[~below]] = middle[~below]
+        active = active[low[active] < high[active]]
+    return low
+
+
+def common_ends(
+    a: np.ndarray, b: np.ndarray, cuts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and in ``b`` of the ends both rising lists have.
+
+    The shorter list drives the search into the longer.  ``cuts`` are ends that
+    are known to be common; a search starts behind the one before it.
+    """
+    if len(a) > len(b):
+        return common_ends(b, a, cuts)[::-1]
+    cuts = np.zeros(0, np.int64) if cuts is None else cuts
+    behind = np.r_[0, np.searchsorted(b, cuts) + 1]
+    at = gallop(a, b, behind[np.searchsorted(cuts, a)])
+    found = np.flatnonzero(at < len(b))
+    found = found[b[at[found]] == a[found]]
+    return found, at[found]
 
 
-def _ends(ids: Sequence[int], spelled: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for i in ids:
-        at += len(spelled[i])
-        out.append(at)
-    return out
+def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last token of ``b`` that share bytes with each token of ``a``: ranks of its ends."""
+    return np.searchsorted(b, np.r_[0, a[:-1]], side="right"), np.searchsorted(b, a)
 
 
 def _byte_level_alphabet() -> dict[str, int]:
@@ -126,27 +139,90 @@ class Aligner:
             self.bytes_b.append(
                 bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode()
             )
+        self.length_a, self.length_b = (
+            np.array([len(x) for x in spelled]) for spelled in (self.bytes_a, self.bytes_b)
+        )
+        # numbers as text, with what may follow them
+        self.text_a, self.text_b = (
+            [np.array([f"{i}{mark}" for i in range(len(spelled))], object) for mark in marks]
+            for spelled, marks in ((self.bytes_a, ",|"), (self.bytes_b, ",;"))
+        )
         self.cached = cached
         self.known: dict[str, tuple[bytes, str, bytes] | None] = {}
 
-    def _aligned(self, stretch: str, a: list[int], b: list[int]) -> tuple[bytes, str, bytes] | None:
-        """Counts, group text and id pairs of one stretch; None where bytes are not kept."""
-        raw = stretch.encode()
-        if (
-            b"".join([self.bytes_a[i] for i in a]) != raw
-            or b"".join([self.bytes_b[i] for i in b]) != raw
-        ):
-            return None
-        ends_a, ends_b = _ends(a, self.bytes_a), _ends(b, self.bytes_b)
-        groups, pairs, x, y = [], [], 0, 0
-        for i, j in common_ends(ends_a, ends_b):
-            own, other = a[x : i + 1], b[y : j + 1]
-            groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-            x, y = i + 1, j + 1
-        for i, found in zip(a, overlaps(ends_a, ends_b), strict=True):
-            pairs += [i << 32 | b[j] for j in found]
-        counts = np.array([len(a), len(b), len(groups), len(pairs)], "<u8").tobytes()
-        return counts, ";".join(groups), np.array(pairs, "<u8").tobytes()
+    def _spelled(self, a: list[int], b: list[int], raw: bytes) -> bool:
+        return (
+            b"".join(map(self.bytes_a.__getitem__, a)) == raw
+            and b"".join(map(self.bytes_b.__getitem__, b)) == raw
+        )
+
+    def _laid(
+        self, lengths: list[int], a: list[int], b: list[int]
+    ) -> list[tuple[bytes, str, bytes]]:
+        """Counts, group text and id pairs of each stretch; ``a`` and ``b`` spell them all in a row."""
+        a, b, cuts = np.array(a), np.array(b), np.cumsum(lengths)
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        i, j = common_ends(ends_a, ends_b, cuts)
+        first, last = overlaps(ends_a, ends_b)
+        n = last - first + 1
+        starts = np.cumsum(n) - n
+        pairs = np.repeat(a.astype("<u8") << np.uint64(32), n)
+        pairs |= b[np.repeat(first - starts, n) + np.arange(n.sum())].astype("<u8")
+        # where each stretch ends in the lists of tokens, groups and pairs
+        to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+        to_group, to_pair = np.searchsorted(i, to_a), np.r_[starts, n.sum()][to_a]
+        to = np.column_stack([to_a, to_b, to_group, to_pair])
+        counts = np.diff(to, axis=0, prepend=np.zeros((1, 4), to.dtype)).astype("<u8").tobytes()
+        # texts of the numbers, those of a group's two sides next to each other
+        groups_a = np.searchsorted(i, np.arange(len(a)))
+        groups_b = np.searchsorted(j, np.arange(len(b)))
+        text = np.empty(len(a) + len(b), object)
+        ends = [np.zeros(len(x), bool) for x in (a, b)]
+        ends[0][i], ends[1][j] = True, True
+        before_b, before_a = np.r_[0, j + 1][groups_a], (i + 1)[groups_b]
+        text[np.arange(len(a)) + before_b] = np.where(ends[0], self.text_a[1][a], self.text_a[0][a])
+        text[np.arange(len(b)) + before_a] = np.where(ends[1], self.text_b[1][b], self.text_b[0][b])
+        text, blob = text.tolist(), pairs.tobytes()
+        out, token, pair = [], 0, 0
+        for k, (t, p) in enumerate(zip((to_a + to_b).tolist(), to_pair.tolist(), strict=True)):
+            out.append(
+                (counts[32 * k : 32 * k + 32], "".join(text[token:t]), blob[8 * pair : 8 * p])
+            )
+            token, pair = t, p
+        return out
+
+    def _learn(self, new: list[str], out: dict) -> None:
+        """Align stretches; None for one that a tokenizer does not spell byte for byte."""
+        alone, plain = [], []
+        for x in new:
+            odd = not x or x[0].isspace() or x[-1].isspace() or "\u2581" in x
+            (alone if odd else plain).append(x)
+        for at in range(0, len(plain), ROW):
+            # stretches between visible characters keep their tokens in a row of them
+            row = plain[at : at + ROW]
+            text = " ".join(row)
+            a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+            b = self.b.encode(text)
+            if not self._spelled(a, b, (" " + text).encode()):
+                alone += row
+                continue
+            lengths = [1 + (len(x) if x.isascii() else len(x.encode())) for x in row]
+            out.update(zip(row, self._laid(lengths, a, b), strict=True))
+        for at in range(0, len(alone), ROW):
+            row = alone[at : at + ROW]
+            found = self.a.encode_batch_fast([" " + x for x in row], add_special_tokens=False)
+            lengths, a, b, good = [], [], [], []
+            for x, one, other in zip(row, found, self.b.encode(row, num_threads=1), strict=True):
+                raw = (" " + x).encode()
+                if not self._spelled(one.ids, other, raw):
+                    out[x] = None
+                    continue
+                good.append(x)
+                lengths.append(len(raw))
+                a += one.ids
+                b += other
+            if good:
+                out.update(zip(good, self._laid(lengths, a, b), strict=True))
 
     def stretches(self, text: str | None) -> list[str]:
         """Stretches of a blank and the text, without their first blank; none for no text."""
@@ -164,13 +240,8 @@ class Aligner:
         wanted = {x for parts in split for x in parts}
         new = [x for x in wanted if x not in self.known]
         known, extra = self.known, {}
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            ids_a = self.a.encode_batch_fast([" " + x for x in some], add_special_tokens=False)
-            ids_b = self.b.encode(some, num_threads=1)
-            for x, one, b in zip(some, ids_a, ids_b, strict=True):
-                keep = known if len(x) <= LONGEST_CACHED else extra
-                keep[x] = self._aligned(" " + x, one.ids, b)
+        self._learn([x for x in new if len(x) <= LONGEST_CACHED], known)
+        self._learn([x for x in new if len(x) > LONGEST_CACHED], extra)
         if extra:
             return [[known[x] if x in known else extra[x] for x in parts] for parts in split]
         return [list(map(known.__getitem__, parts)) for parts in split]
@@ -185,7 +256,6 @@ ALIGNED = (
     "doc_id long, row long, n_a long, n_b long, n_groups long, n_links long, "
     "groups_sha256 string, pairs binary, links binary"
 )
-_EMPTY = np.zeros(0, "<u8")
 
 
 def alignments(docs: DataFrame, files: Tokenizers) -> DataFrame:
@@ -210,7 +280,7 @@ def alignments(docs: DataFrame, files: Tokenizers) -> DataFrame:
                     n = np.frombuffer(b"".join([p[0] for p in parts]), "<u8").reshape(-1, 4)
                     counts.append(n.sum(axis=0).tolist())
                     digests.append(
-                        hashlib.sha256(";".join([p[1] for p in parts]).encode()).hexdigest()
+                        hashlib.sha256("".join([p[1] for p in parts])[:-1].encode()).hexdigest()
                     )
                     found = np.frombuffer(b"".join([p[2] for p in parts]), "<u8")
                     keys, times = np.unique(found, return_counts=True)
