@@ -8,9 +8,10 @@ coordinates are join keys; what shares a key is tested on whole signatures and
 then on the full shingle sets.
 
 Only components are wanted, so the members of a key are tested against one of
-them first.  Keys that still hold several components are searched along forests
-of near signatures and then completely; a large one is first cut again by a
-second band, which every linked pair shares as well.
+them first, each member against the least of its keys' pivots before the others.
+Keys that still hold several components are searched along forests of near
+signatures and then completely; a large one is first cut again by a second band,
+which every linked pair shares as well.
 """
 
 from __future__ import annotations
@@ -382,10 +383,26 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     ).where("x <> y").select(F.col("doc_id").alias("b"))
     links = landed(same.join(repeated, "b", "left_semi").select("a", "b"), "links")
     groups = landed(shared_keys(band_rows(nodes)), "shared-keys")
-    pairs = groups.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    found = landed(verified(near_pairs(pairs.distinct(), nodes, rule), docs, rule), "links")
+    stars = groups.where("node <> pivot")
+    # most groups are joined by the least pivot of each node; the others matter where it failed
+    first = stars.groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
+    found = landed(verified(near_pairs(first, nodes, rule), docs, rule), "links")
     links = links.unionByName(found)
     parts = connected(links)
+    place = parts.select("node", "component")
+    apart = (
+        stars.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        .distinct()
+        .join(place.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left")
+        .join(place.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
+        .where(F.coalesce("x", "a") != F.coalesce("y", "b"))
+        .select("a", "b")
+    )
+    apart = landed(apart, "pairs-apart")
+    found = landed(verified(near_pairs(apart, nodes, rule), docs, rule), "links")
+    if found.limit(1).count():
+        links = links.unionByName(found)
+        parts = connected(links)
     for forest in (True, False):
         # a pivot has been tested against all of its key
         rows = unresolved(groups.where("node <> pivot").select("key", "node"), nodes, parts)
