@@ -1,33 +1,27 @@
 """Incident lifecycle over a whole history of evaluations.
 
-The states of one incident key follow from its runs of consecutive positive
-ticks and the gaps between them, so no sequential fold is needed:
-
-* a run starts a new incident if it is the key's first, if the gap before it
-  was long enough to resolve the previous incident, or if the previous run was
-  itself a start that never left ``candidate``;
-* within an incident the state at a positive tick depends only on its position
-  in its run, and the misses after a run on the length of the gap.
-
-All of that is running aggregates over one ordering of narrow rows: one shuffle
-and one sort per key, whatever the number of observations behind a finding.
+States come from ``history``, which cuts a key's history into blocks of a day
+and scans them in parallel.  Only keys and ticks travel there; what a finding
+says is joined to its transitions at the end, by key and tick.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from linkwatch import schemas as S
 from linkwatch.functions.ids import uuid5
 from linkwatch.functions.temporal import TickSpan, iso_text, millis_between, timestamp_of
+from linkwatch.operators.history import Automaton, evaluations
 from linkwatch.operators.snapshot import cadence_of
+from linkwatch.session import landed
 
 ID_PREFIX = "linkwatch-incident"
 STATE_PREFIX = "linkwatch-incident-state"
 CLASSIFIER_ID = "linkwatch-classifier-01"
 
+DAY_US = 86_400_000_000
 _KEY = ("site_id", "incident_key")
 FINDING_BODY = (
     "incident_type",
@@ -65,89 +59,33 @@ def lifecycle(
 ) -> DataFrame:
     """Every state transition of every incident up to the last tick."""
     step = cadence_of(cfg).step_us
-    to_resolve, to_open = misses_to_resolve(cfg), hits_to_open(cfg)
-    order = Window.partitionBy(*_KEY).orderBy("tick")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-
-    def latest(condition: Column, value: Column, frame=so_far) -> Column:
-        """Value at the last row where the condition held; values never shrink."""
-        return F.max(F.when(condition, value)).over(frame)
-
-    tick = F.col("tick")
-    hits = findings.select(
-        *_KEY,
-        (F.col("tick_us") / F.lit(step)).cast("bigint").alias("tick"),
-        F.struct(*FINDING_BODY).alias("finding"),
-    )
-    runs = (
-        hits.withColumn("gap", tick - F.lag("tick").over(order) - 1)
-        .withColumn("opens_run", F.col("gap").isNull() | (F.col("gap") > 0))
-        .withColumn("run", latest(F.col("opens_run"), tick))
-        .withColumn("in_run", tick - F.col("run") + 1)
-        .withColumn("ordinal", F.row_number().over(order))
-        .withColumn("gap_after", F.lead("tick").over(order) - tick - 1)
-    )
-    forced = F.col("opens_run") & (F.col("gap").isNull() | (F.col("gap") >= to_resolve))
-    starts = (
-        runs.withColumn("_forced", latest(forced, F.col("run")))
-        .withColumn("_opened", latest(F.col("in_run") >= to_open, F.col("run"), before))
-        .withColumn(
-            "starts",
-            F.col("opens_run") & (F.col("_forced") > F.coalesce("_opened", F.lit(-(2**62)))),
-        )
-        .withColumn("start", latest(F.col("starts"), tick))
-        .withColumn("positives", F.col("ordinal") - latest(F.col("starts"), F.col("ordinal")) + 1)
-    )
-    first_run = F.col("run") == F.col("start")
-    state = (
-        F.when(first_run & (F.col("in_run") < to_open), F.lit("candidate"))
-        .when(F.col("in_run") == F.when(first_run, F.lit(to_open)).otherwise(F.lit(1)),
-              F.lit("open"))
-        .otherwise(F.lit("ongoing"))
-    )
-    left = F.floor(span.last / F.lit(step)) - tick
-    available = F.coalesce(F.col("gap_after"), F.greatest(left, F.lit(0)))
-    shown = (
-        starts.withColumn("status", state)
-        .withColumn(
-            "misses",
-            F.least(
-                available,
-                F.when(F.col("status") == "candidate", F.lit(1)).otherwise(F.lit(to_resolve)),
-            ).cast("int"),
-        )
-        .withColumn("_before", F.coalesce(F.sum(F.col("misses") + 1).over(before), F.lit(0)))
-        .withColumn("_base", latest(F.col("starts"), F.col("_before")))
+    automaton = Automaton(hits_to_open(cfg), misses_to_resolve(cfg))
+    found = landed(
+        findings.select(
+            *_KEY,
+            (F.col("tick_us") / F.lit(step)).cast("bigint").alias("hit"),
+            F.struct(*FINDING_BODY).alias("finding"),
+        ),
+        "findings",
     )
-    return _transitions(shown, step, to_resolve, prefix)
-
-
-def _transitions(shown: DataFrame, step: int, to_resolve: int, prefix: str) -> DataFrame:
-    miss = F.col("miss")
-    unfolded = shown.withColumn("miss", F.explode(F.sequence(F.lit(0), F.col("misses"))))
-    resolved = (miss > 0) & ((F.col("status") == "candidate") | (miss >= to_resolve))
-    status = (
-        F.when(miss == 0, F.col("status"))
-        .when(resolved, F.lit("resolved"))
-        .otherwise(F.lit("recovering"))
+    states = evaluations(
+        found.select(*_KEY, F.col("hit").alias("tick")),
+        automaton,
+        max(DAY_US // step, automaton.to_resolve),
     )
-    at = timestamp_of((F.col("tick") + miss) * F.lit(step))
-    return unfolded.select(
+    states = states.where(F.col("tick") <= F.floor(span.last / F.lit(step)))
+    at, start = (timestamp_of(F.col(c) * F.lit(step)) for c in ("tick", "start"))
+    return states.join(found, [*_KEY, "hit"]).select(
+        incident_id(F.col("site_id"), F.col("incident_key"), start, prefix).alias("incident_id"),
         *_KEY,
         at.alias("observed_at"),
-        timestamp_of(F.col("start") * F.lit(step)).alias("start_time"),
-        F.when(resolved, at).alias("end_time"),
-        status.alias("status"),
-        (F.col("_before") - F.col("_base") + miss + 1).cast("bigint").alias("state_revision"),
-        F.col("positives").cast("bigint").alias("positive_observations"),
-        miss.cast("bigint").alias("recovery_observations"),
+        start.alias("start_time"),
+        F.when(F.col("status") == "resolved", at).alias("end_time"),
+        "status",
+        F.col("revision").alias("state_revision"),
+        F.col("positives").alias("positive_observations"),
+        F.col("miss").alias("recovery_observations"),
         "finding.*",
-    ).select(
-        incident_id(F.col("site_id"), F.col("incident_key"), F.col("start_time"), prefix).alias(
-            "incident_id"
-        ),
-        "*",
     )
 
 

@@ -1677,15 +1677,15 @@ def batch_ledger(spark, folder):
 
 @query(
     "snapshot_replaced",
-    "SELECT agent_id, COUNT(*) AS records FROM base WHERE event_no % 2 = 0 GROUP BY 1",
+    "SELECT agent_id, COUNT(*) AS records FROM base GROUP BY 1",
 )
 def snapshot_replaced(spark, folder):
-    """A stored table replaced as a whole by another one."""
-    rows = Telemetry(spark, folder).base.select("agent_id", "event_no")
+    """A stored table replaced as a whole by that of all events."""
+    rows = Telemetry(spark, folder).base.select("agent_id")
     path = scratch_path(spark, "snapshot")
-    for kept in ("event_no % 5 = 0", "event_no % 2 = 0"):
-        counts = rows.where(kept).groupBy("agent_id").agg(F.count("*").alias("records"))
-        sinks.replace_snapshot(counts, path)
+    counts = rows.groupBy("agent_id").agg(F.count("*").alias("records"))
+    sinks.replace_snapshot(counts.withColumn("records", -F.col("records")), path)
+    sinks.replace_snapshot(counts, path)
     return spark.read.parquet(path)
 
 

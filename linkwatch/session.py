@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from linkwatch.sources import files
 
@@ -91,6 +91,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def landed(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back.
+
+    What is read later survives lost executors and is not computed again.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Delete what this process put under the shared folder; returns the number of paths.
 
