@@ -1514,6 +1514,22 @@ def _landed(spark, rows: DataFrame, name: str) -> str:
     return path
 
 
+def _landed_in_order(spark, rows: DataFrame, column: str, parts: int) -> str:
+    """Rows in ``parts`` equal stretches of a column, written one after the other."""
+    rows = spark.read.parquet(_landed(spark, rows, "unordered"))
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    path = scratch_path(spark, "ordered")
+    if low is None:
+        rows.write.parquet(path)
+        return path
+    place = F.least(
+        F.floor((F.col(column) - low) * parts / F.lit(max(1, high - low))), F.lit(parts - 1)
+    )
+    for n in range(parts):
+        rows.where(place == n).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query("stream_window_metrics", _METRICS_SQL)
 def stream_window_metrics(spark, folder):
     """Landed records through the metrics stream; all arrive in one trigger, so
@@ -1563,19 +1579,31 @@ def stream_rejects(spark, folder):
 @query("stream_lifecycle", _TRANSITIONS_SQL, RULE_PAIRS)
 def stream_lifecycle(spark, folder):
     """The keyed-state lifecycle over landed evaluations."""
-    return _stream_lifecycle(spark, folder)
+    return _stream_lifecycle(spark, folder).where("kind = 'state'").select(*_TRANSITION_COLUMNS)
 
 
-def _stream_lifecycle(spark, folder, files: int | None = None):
+# files come in no order here, so nothing may be taken for lost
+_ANY_ORDER = "3650 days"
+
+
+def _stream_lifecycle(
+    spark, folder, files: int | None = None, held: Callable[[Telemetry], DataFrame] | None = None,
+    delay: str = _ANY_ORDER,
+):
+    """The stream's output over landed evaluations; ``held`` names those that were made."""
     from linkwatch.streaming.jobs import start_query
     from linkwatch.streaming.lifecycle import STATE_STORE, finding_type, lifecycle_stream, tick_rows
 
     t = _rules(spark, folder)
     found = spark.read.parquet(_landed(spark, _findings(t), "findings"))
     rows = tick_rows(found, _span(t), CFG)
-    if files:
-        rows = rows.repartition(files, F.xxhash64("tick_us"))
-    landed = _landed(spark, rows, "ticks")
+    if held:
+        made = rows.join(held(t), ["site_id", "tick_us"], "left_semi")
+        landed = _landed_in_order(spark, made, "tick_us", files)
+    else:
+        if files:
+            rows = rows.repartition(files, F.xxhash64("tick_us"))
+        landed = _landed(spark, rows, "ticks")
     source = spark.readStream.schema(spark.read.parquet(landed).schema)
     if files:
         source = source.option("maxFilesPerTrigger", 2)
@@ -1585,7 +1613,7 @@ def _stream_lifecycle(spark, folder, files: int | None = None):
     spark.conf.set(*STATE_STORE)
     try:
         start_query(
-            lifecycle_stream(ticks, CFG, finding_type(found)),
+            lifecycle_stream(ticks, CFG, finding_type(found), delay=delay),
             lambda batch, n: sinks.append_batch(batch, f"{out}/transitions", n),
             name="incident-lifecycle",
             checkpoint=f"{out}/checkpoint",
@@ -1595,13 +1623,74 @@ def _stream_lifecycle(spark, folder, files: int | None = None):
         spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(
             STATE_STORE[0], before
         )
-    return spark.read.parquet(f"{out}/transitions").select(*_TRANSITION_COLUMNS)
+    return spark.read.parquet(f"{out}/transitions")
 
 
 @query("stream_lifecycle_unordered", _TRANSITIONS_SQL, RULE_PAIRS)
 def stream_lifecycle_unordered(spark, folder):
     """The same over several triggers whose files hold the evaluations in no order."""
-    return _stream_lifecycle(spark, folder, files=6)
+    rows = _stream_lifecycle(spark, folder, files=6)
+    return rows.where("kind = 'state'").select(*_TRANSITION_COLUMNS)
+
+
+def _evaluated(t: Telemetry) -> DataFrame:
+    """A site was evaluated at the ticks before which a router ping of it came."""
+    tick = _cadence().tick_at_or_after(F.col("event_time"))
+    pings = t.base.where(F.col("kind") == "router_ping")
+    return pings.select("site_id", tick.alias("tick_us")).distinct()
+
+
+def _gap_parts() -> dict[str, str]:
+    """The fold over the evaluations that were made, all others left out."""
+    parts, step = O.lifecycle(CFG), int(CFG.interval_seconds) * 1000000
+    fold = parts["fold"].replace("FROM grid", "FROM gap_grid").replace("JOIN grid", "JOIN gap_grid")
+    return {
+        "evaluated": f"""
+  SELECT DISTINCT site_id, (epoch_us(event_time) + {step - 1}) // {step} AS n
+  FROM base WHERE kind = 'router_ping'""",
+        "gap_hits": "SELECT h.* FROM hits h JOIN evaluated e ON e.site_id = h.site_id AND e.n = h.n",
+        "gap_grid": """
+  SELECT k.site_id, k.incident_key, t.n, h.n IS NOT NULL AS hit,
+    row_number() OVER (PARTITION BY k.site_id, k.incident_key ORDER BY t.n) AS i
+  FROM (SELECT site_id, incident_key, MIN(n) AS first_n FROM gap_hits GROUP BY ALL) k
+    JOIN evaluated t ON t.site_id = k.site_id AND t.n >= k.first_n
+    LEFT JOIN gap_hits h ON h.site_id = k.site_id AND h.incident_key = k.incident_key AND h.n = t.n""",
+        "gap_fold": fold.replace("FROM fold", "FROM gap_fold"),
+        "gap_transitions": parts["transitions"]
+        .replace("FROM fold", "FROM gap_fold")
+        .replace("JOIN hits", "JOIN gap_hits"),
+        "gap_steps": f"""
+  SELECT site_id, n, n - lag(n) OVER (PARTITION BY site_id ORDER BY n) - 1 AS gap FROM evaluated""",
+    }
+
+
+@query(
+    "stream_lifecycle_gaps",
+    _TRANSITIONS_SQL.replace("FROM transitions", "FROM gap_transitions"),
+    RULE_PAIRS,
+    extra=_gap_parts(),
+)
+def stream_lifecycle_gaps(spark, folder):
+    """The stream where evaluations are missing: timers close the gaps."""
+    rows = _stream_lifecycle(spark, folder, files=6, held=_evaluated, delay="0 seconds")
+    return rows.where("kind = 'state'").select(*_TRANSITION_COLUMNS)
+
+
+@query(
+    "stream_lifecycle_losses",
+    f"""SELECT site_id, 'missing' AS kind,
+  {ts(f'make_timestamp(n * {int(CFG.interval_seconds) * 1000000})')} AS observed_at,
+  gap AS evaluations FROM gap_steps WHERE gap > 0""",
+    RULE_PAIRS,
+    extra=_gap_parts(),
+)
+def stream_lifecycle_losses(spark, folder):
+    """How many evaluations were missing before each one that followed a gap."""
+    from linkwatch.streaming.lifecycle import losses_of
+
+    return losses_of(
+        _stream_lifecycle(spark, folder, files=6, held=_evaluated, delay="0 seconds")
+    )
 
 
 @query(

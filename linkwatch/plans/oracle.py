@@ -532,9 +532,9 @@ def sql(body: str, *, cfg: S.Thresholds, pairs: int | None, extra: dict[str, str
     visit(body)
     if not needed:
         return body
-    materialized = {"fold"}
+    recursive = [n for n in needed if n.endswith("fold")]
     clauses = ",\n".join(
-        f"{n} AS {'' if n in materialized else 'MATERIALIZED '}({parts[n]})" for n in needed
+        f"{n} AS {'' if n in recursive else 'MATERIALIZED '}({parts[n]})" for n in needed
     )
-    head = "WITH RECURSIVE " if "fold" in needed else "WITH "
+    head = "WITH RECURSIVE " if recursive else "WITH "
     return f"{head}{clauses}\n{body}"

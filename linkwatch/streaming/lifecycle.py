@@ -1,4 +1,10 @@
-"""The incident lifecycle as keyed state over a stream of evaluations."""
+"""The incident lifecycle as keyed state over a stream of evaluations.
+
+Evaluations of a site are taken in order.  One that waits for an evaluation
+before it waits no longer than the watermark: when that passes the gap, a timer
+closes it, the missing evaluations count as not made, and a side row says how
+many they were.  So a lost evaluation neither stalls a site nor keeps state.
+"""
 
 from __future__ import annotations
 
@@ -27,8 +33,6 @@ STATE_STORE = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 )
 
-_FIRST = -(1 << 62)  # stands before the first evaluation
-
 _STATE = T.StructType(
     [
         T.StructField("start_us", T.LongType()),
@@ -39,8 +43,12 @@ _STATE = T.StructType(
         T.StructField("finding", T.StringType()),
     ]
 )
+# kinds of output rows: a state of an incident; evaluations that never came (their
+# number is the revision) and evaluations delivered again
+STATE, MISSING, REPEATED = "state", "missing", "repeated"
 _OUTPUT = T.StructType(
     [
+        T.StructField("kind", T.StringType()),
         T.StructField("site_id", T.StringType()),
         T.StructField("incident_key", T.StringType()),
         T.StructField("observed_us", T.LongType()),
@@ -82,50 +90,77 @@ def tick_rows(findings: DataFrame, span: TickSpan, cfg: S.Thresholds) -> DataFra
 class LifecycleProcessor(StatefulProcessor):
     """Active incidents of one site, advanced evaluation by evaluation.
 
-    An evaluation waits in the state until the one before it has been taken, so
-    none is lost, however files and triggers are ordered.  One that was taken
-    already is a repeated delivery and changes nothing.
+    An evaluation waits in the state until the one before it has been taken or
+    the watermark has passed all that could come between.  One that was taken
+    already is a repeated delivery and changes nothing but a count.
     """
 
-    def __init__(self, to_open: int, to_resolve: int) -> None:
+    def __init__(self, to_open: int, to_resolve: int, step_us: int) -> None:
         self._to_open = to_open
         self._to_resolve = to_resolve
+        self._step_us = step_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         key = T.StructType([T.StructField("incident_key", T.StringType())])
         tick = T.StructType([T.StructField("tick_us", T.LongType())])
-        before = T.StructType([T.StructField("previous_us", T.LongType())])
         waiting = T.StructType(
-            [T.StructField("tick_us", T.LongType()), T.StructField("findings", T.StringType())]
+            [T.StructField("first", T.BooleanType()), T.StructField("findings", T.StringType())]
         )
+        self._handle = handle
         self._active = handle.getMapState("active", key, _STATE)
-        self._waiting = handle.getMapState("waiting", before, waiting)
+        self._waiting = handle.getMapState("waiting", tick, waiting)
         self._last = handle.getValueState("last_tick", tick)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         last = self._last.get()[0] if self._last.exists() else None
-        come: dict[int, tuple[int, str]] = {}
+        come: dict[int, tuple[bool, str]] = {}
+        repeated = 0
         for frame in rows:
             for tick, previous, findings in zip(
                 frame["tick_us"], frame["previous_us"], frame["findings"]
             ):
-                if last is None or tick > last:
-                    come[_FIRST if pd.isna(previous) else int(previous)] = (int(tick), findings)
+                tick = int(tick)
+                if tick in come or (last is not None and tick <= last):
+                    repeated += 1
+                elif self._waiting.containsKey((tick,)):
+                    repeated += 1
+                else:
+                    come[tick] = (bool(pd.isna(previous)), findings)
+        yield from self._taken(key[0], come, repeated, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._taken(key[0], {}, 0, timerValues)
+
+    def _taken(self, site: str, come: dict, repeated: int, timerValues) -> Iterator[pd.DataFrame]:
+        """Take what is in order, counting new arrivals in, and wait for the rest."""
+        # nothing before this can come any more; in micro-seconds
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        last = self._last.get()[0] if self._last.exists() else None
+        held = {k[0]: tuple(v) for k, v in self._waiting.iterator()}
+        stored = set(held)
+        held.update(come)
         active = {k[0]: tuple(v) for k, v in self._active.iterator()}
         before = dict(active)
+        nothing = (None, None, None, None)
         out = []
-        while True:
-            step = _FIRST if last is None else last
-            following = come.pop(step, None)
-            if self._waiting.containsKey((step,)):
-                following = tuple(self._waiting.getValue((step,)))
-                self._waiting.removeKey((step,))
-            if following is None:
-                break
-            last = following[0]
-            out += self._advance(key[0], last, _decode(following[1]), active)
-        for step, row in come.items():
-            self._waiting.updateValue((step,), row)
+        if repeated:
+            out.append((REPEATED, site, None, last, None, None, repeated, *nothing[1:]))
+        for tick in sorted(held):
+            first, findings = held[tick]
+            gap = 0 if first else 1 if last is None else (tick - last) // self._step_us - 1
+            if gap:
+                if tick - self._step_us >= passed:
+                    # fires when the watermark has gone past the last evaluation before this one
+                    self._handle.registerTimer((tick - self._step_us) // 1000 + 1)
+                    break
+                out.append((MISSING, site, None, tick, None, None, gap, *nothing[1:]))
+            del held[tick]
+            last = tick
+            out += [(STATE, *row) for row in self._advance(site, tick, _decode(findings), active)]
+        for tick in stored - held.keys():
+            self._waiting.removeKey((tick,))
+        for tick in held.keys() - stored:
+            self._waiting.updateValue((tick,), held[tick])
         for name in before.keys() - active.keys():
             self._active.removeKey((name,))
         for name, state in active.items():
@@ -173,15 +208,28 @@ def _decode(text: str) -> dict:
 
 
 def lifecycle_stream(
-    ticks: DataFrame, cfg: S.Thresholds, finding_type: T.DataType, prefix: str = ID_PREFIX
+    ticks: DataFrame,
+    cfg: S.Thresholds,
+    finding_type: T.DataType,
+    prefix: str = ID_PREFIX,
+    delay: str = S.WATERMARK,
 ) -> DataFrame:
-    """Transitions of a stream of ``tick_rows``, as the batch operator lays them out."""
-    processor = LifecycleProcessor(hits_to_open(cfg), misses_to_resolve(cfg))
-    raw = ticks.groupBy("site_id").transformWithStateInPandas(
+    """Transitions of a stream of ``tick_rows``, as the batch operator lays them out.
+
+    ``delay`` is how much later than the newest evaluation another one may
+    come.  Spark drops what comes later still and counts it in its progress
+    (``numRowsDroppedByWatermark``).  Rows whose ``kind`` is not ``STATE`` are
+    counts of missing and repeated evaluations; ``transitions_of`` and
+    ``losses_of`` part a written batch.
+    """
+    step = cadence_of(cfg).step_us
+    processor = LifecycleProcessor(hits_to_open(cfg), misses_to_resolve(cfg), step)
+    timed = ticks.withColumn("evaluated_at", timestamp_of("tick_us"))
+    raw = timed.withWatermark("evaluated_at", delay).groupBy("site_id").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=_OUTPUT,
         outputMode="append",
-        timeMode="None",
+        timeMode="EventTime",
     )
     start, at = timestamp_of("start_us"), timestamp_of("observed_us")
     return raw.select(
@@ -196,8 +244,20 @@ def lifecycle_stream(
         F.col("positives").alias("positive_observations"),
         F.col("recoveries").alias("recovery_observations"),
         F.from_json("finding", finding_type).alias("finding"),
+        "kind",
     ).select("*", "finding.*").drop("finding")
 
 
+def transitions_of(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("kind") == STATE).drop("kind")
+
+
+def losses_of(rows: DataFrame) -> DataFrame:
+    """How many evaluations of a site were missing before a tick or came again."""
+    return rows.where(F.col("kind") != STATE).select(
+        "site_id", "kind", "observed_at", F.col("state_revision").alias("evaluations")
+    )
+
+
 def finding_type(findings: DataFrame) -> T.StructType:
     return findings.select(*FINDING_BODY).schema

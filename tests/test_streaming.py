@@ -18,11 +18,21 @@ from linkwatch.operators.windows import window_metrics
 from linkwatch.sources import sinks
 from linkwatch.sources.kafka import file_source
 from linkwatch.streaming import jobs
-from linkwatch.streaming.lifecycle import STATE_STORE, finding_type, lifecycle_stream, tick_rows
+from linkwatch.streaming.lifecycle import (
+    STATE_STORE,
+    finding_type,
+    lifecycle_stream,
+    losses_of,
+    tick_rows,
+    transitions_of,
+)
+
+from tests.test_incidents import step_by_step
 
 UTC = dt.timezone.utc
 START = dt.datetime(2026, 1, 5, 10, tzinfo=UTC)
 TOPIC = S.TOPICS[S.MEASUREMENT]
+BASE = 1_000_000  # first evaluation; a stream's watermark starts at 1970
 
 
 def record(i: int, minute: float, **changes):
@@ -125,7 +135,7 @@ def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path, later_fir
     step = 10_000_000
     hits = {"s1": ["110100111000", "001100000011"], "s2": ["101010101010", "111111000110"]}
     rows = [
-        (site, t * step, f"k{i}")
+        (site, (BASE + t) * step, f"k{i}")
         for site, patterns in hits.items()
         for i, pattern in enumerate(patterns)
         for t, flag in enumerate(pattern)
@@ -140,11 +150,11 @@ def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path, later_fir
             for c in L.FINDING_BODY
         }
     )
-    span = TickSpan(F.lit(0), F.lit(11 * step))
+    span = TickSpan(F.lit(BASE * step), F.lit((BASE + 11) * step))
     landed = str(tmp_path / "ticks")
     for half in (0, 1):
         part = tick_rows(findings, span, cfg).where(
-            (F.col("tick_us") < 6 * step) == F.lit((half == 0) != later_first)
+            (F.col("tick_us") < (BASE + 6) * step) == F.lit((half == 0) != later_first)
         )
         part.coalesce(1).write.mode("append").parquet(landed)
     files = sorted((f for f in os.listdir(landed) if f.startswith("part")),
@@ -158,7 +168,7 @@ def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path, later_fir
     try:
         jobs.start_query(
             lifecycle_stream(ticks, cfg, finding_type(findings)),
-            lambda batch, n: sinks.append_batch(batch, f"{out}/t", n),
+            lambda batch, n: sinks.append_batch(transitions_of(batch), f"{out}/t", n),
             name="lifecycle",
             checkpoint=f"{out}/c",
             mode="append",
@@ -172,6 +182,69 @@ def test_keyed_state_lifecycle_equals_the_window_form(spark, tmp_path, later_fir
     assert got == want
 
 
+def test_a_missing_evaluation_does_not_stall_the_site(spark, tmp_path):
+    """Evaluations 0 to 39, the sixth never comes, two come twice; a restart in between."""
+    step, cfg = 10_000_000, S.Thresholds(open_observations=2, resolve_observations=2)
+    pattern = [t % 7 < 4 for t in range(40)]
+    findings = spark.createDataFrame(
+        [("s", (BASE + t) * step, "k") for t, hit in enumerate(pattern) if hit],
+        "site_id string, tick_us bigint, incident_key string",
+    ).withColumns(
+        {
+            c: F.array(F.lit("x")) if c.startswith("affected") or c == "evidence" else F.lit("v")
+            for c in L.FINDING_BODY
+        }
+    )
+    rows = tick_rows(findings, TickSpan(F.lit(BASE * step), F.lit((BASE + 39) * step)), cfg)
+    rows = rows.where(f"tick_us <> {(BASE + 5) * step}")
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    landed, out = str(tmp_path / "ticks"), str(tmp_path / "out")
+    spark.conf.set(*STATE_STORE)
+
+    def run():
+        ticks = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        query = jobs.start_query(
+            lifecycle_stream(ticks, cfg, finding_type(findings), delay="0 seconds"),
+            lambda batch, n: sinks.append_batch(batch, f"{out}/t", n),
+            name="lifecycle-gap",
+            checkpoint=f"{out}/c",
+            mode="append",
+        )
+        query.awaitTermination()
+        return query
+
+    try:
+        for low, high in ((0, 12), (12, 20), (20, 40)):
+            part = rows.where(f"tick_us >= {(BASE + low) * step} and tick_us < {(BASE + high) * step}")
+            if low == 12:
+                part = part.unionByName(part.where(f"tick_us >= {(BASE + 18) * step}"))
+            part.coalesce(1).write.mode("append").parquet(landed)
+            query = run()
+        state = query.recentProgress[-1].stateOperators[0]
+        late = rows.where(f"tick_us = {(BASE + 3) * step}")
+        late.coalesce(1).write.mode("append").parquet(landed)
+        query = run()
+        dropped = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    finally:
+        spark.conf.unset(STATE_STORE[0])
+    assert dropped == 1
+    # one row for the last tick, at most one active incident and nothing waiting
+    assert state.numRowsTotal <= 4
+    stored = spark.read.parquet(f"{out}/t")
+    losses = sorted((r.kind, r.evaluations) for r in losses_of(stored).collect())
+    assert losses == [("missing", 1), ("repeated", 2)]
+    got = [
+        (r.observed_at.timestamp() * 1e6 / step - BASE, r.status, r.state_revision)
+        for r in transitions_of(stored).orderBy("observed_at").collect()
+    ]
+    made = [t for t in range(40) if t != 5]
+    want = [
+        (float(made[i]), status, revision)
+        for i, _, status, revision, _, _ in step_by_step([pattern[t] for t in made], 2, 2)
+    ]
+    assert got == want
+
+
 def test_cluster_must_name_the_shared_folder(spark, monkeypatch):
     from linkwatch import session
 
