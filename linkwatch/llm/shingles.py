@@ -1,8 +1,10 @@
 """Word and shingle hashes of many texts at once, in numpy.
 
-Words are runs of bytes without ASCII white space.  A word's hash is a
-polynomial of its bytes modulo 2**64, read off prefix sums, and then mixed;
-hashes depend on the bytes alone, so every worker gets the same ones.
+Words are runs of bytes without ASCII white space.  A word's hash is the sum of
+a 64-bit value for each of its bytes, drawn by byte and place in the word, read
+off prefix sums and mixed with the length.  No weight is a power of another, so
+words whose polynomial hashes agree by construction have different ones; hashes
+depend on the bytes alone, so every worker gets the same.
 """
 
 from __future__ import annotations
@@ -10,8 +12,6 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
 STEP = _U(0xD1342543DE82EF95)
 
 _space = np.zeros(256, bool)
@@ -20,8 +20,6 @@ _mark = np.ones(256, bool)
 _mark[[*b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", *range(128, 256)]] = False
 _lower = np.arange(256, dtype=np.uint8)
 _lower[ord("A") : ord("Z") + 1] += 32
-_powers = np.ones(1, _U)
-_inverses = np.ones(1, _U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,13 +29,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < size:
-        n = 1 << (size - 1).bit_length()
-        _powers = np.cumprod(np.r_[_U(1), np.full(n - 1, _U(BASE))], dtype=_U)
-        _inverses = np.cumprod(np.r_[_U(1), np.full(n - 1, _U(INVERSE))], dtype=_U)
-    return _powers, _inverses
+# values of the first places of a word, by place and byte; later ones are computed
+PLACES = 64
+_drawn = mix(mix(np.arange(PLACES << 8, dtype=_U) + _U(0x9E3779B97F4A7C15)))
+
+
+def _values(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    index = place << 8
+    index |= raw
+    if not len(index) or index.max() < PLACES << 8:
+        return _drawn.take(index)
+    far = index >= PLACES << 8
+    out = _drawn.take(np.where(far, 0, index))
+    out[far] = mix(mix(index[far].astype(_U) + _U(0x9E3779B97F4A7C15)))
+    return out
 
 
 class Words:
@@ -57,13 +62,16 @@ class Words:
         if not gap[0]:
             edge = np.r_[0, edge]
         self.start, self.end = edge[0::2], edge[1::2]
-        powers, inverses = _tables(len(raw) + 1)
+        # bytes of a gap get the place behind the word before it, their values are not used
+        lead = int(self.start[0]) if len(self.start) else len(raw)
+        kind = np.int32 if len(raw) < 1 << 22 else np.int64
+        begins = np.r_[0, self.start].astype(kind)
+        place = np.arange(len(raw), dtype=kind)
+        place -= np.repeat(begins, np.diff(np.r_[begins, kind(len(raw))]))
+        place[:lead] = 0
         sums = np.zeros(len(raw) + 1, _U)
-        np.cumsum((raw.astype(_U) + _U(1)) * powers[: len(raw)], out=sums[1:])
-        self.hash = mix(
-            (sums[self.end] - sums[self.start]) * inverses[self.start]
-            + (self.end - self.start).astype(_U)
-        )
+        np.cumsum(_values(raw, place), out=sums[1:])
+        self.hash = mix(sums[self.end] - sums[self.start] + mix((self.end - self.start).astype(_U)))
         lengths = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
         self.text_start = np.r_[0, np.cumsum(lengths)]
         self.first = np.searchsorted(self.start, self.text_start)
