@@ -32,8 +32,9 @@ MARKS = {
     "assistant": ("[ANSWER]", "</s>"),
 }
 CONTROL = r"</?s>|<</?SYS>>|\[/?INST\]|\[ANSWER\]|\[ROLE:[^\]\s]*\]|\[/ROLE\]"
-_ESCAPE = re.compile(rf"\\*(?:{CONTROL})")
-_RESTORE = re.compile(rf"\\(\\*(?:{CONTROL}))")
+# a run of backslashes is tried from its start alone, so a long one takes linear time
+_ESCAPE = re.compile(rf"(?<!\\)\\*(?:{CONTROL})")
+_RESTORE = re.compile(rf"(?<!\\)\\(\\*(?:{CONTROL}))")
 _FIRST = re.compile(rf"({CONTROL}) ")
 TURNS = "conv_id long, seq long, body string, loss_start long, loss_end long"
 DIGESTS = (

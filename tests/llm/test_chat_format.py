@@ -103,3 +103,15 @@ def test_digests_of_formatted_turns(spark):
     assert got[None].loss_chars == 5
     none = spark.createDataFrame([], EVENTS)
     assert digests(formatted(none)).count() == 0
+
+
+def test_long_runs_of_backslashes_take_linear_time():
+    import time
+
+    from linkwatch.llm.chat_format import escape, restore
+
+    begun = time.time()
+    for text in ("\\" * 1_000_000, "\\" * 500_000 + "</s>" + "\\" * 500_000):
+        assert restore(escape(text)) == text
+    assert escape("\\" * 9 + "</s>") == "\\" * 10 + "</s>"
+    assert time.time() - begun < 20
