@@ -237,10 +237,9 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
                 if role == 0:  # several where rows repeat the id
                     held.append((first, second))
                     continue
-                for other, names in held:
-                    _, i, j = np.intersect1d(other, first, assume_unique=True, return_indices=True)
-                    both = int((names[i] == second[j]).sum())
-                    if rule.links(len(other), len(first), both):
+                for other in held if len(first) else ():
+                    both = _in_common((first, second), other)
+                    if rule.links(len(other[0]), len(first), both):
                         edges.append((lead, node))
                         break
             yield pa.RecordBatch.from_arrays(
@@ -275,10 +274,9 @@ def cut_again(rows: DataFrame, nodes: DataFrame, rule: NearRule) -> DataFrame:
                 keys = np.frombuffer(b"".join(some.column(2).to_pylist()), np.int64)
                 keys = keys.reshape(-1, rule.bands)
                 other = keys != key[:, None]
-                own = np.repeat(key.view(_U), rule.bands).reshape(keys.shape)
-                cut = mix(mix(own) ^ keys.view(_U))[other]
+                own = np.repeat(key, rule.bands).reshape(keys.shape)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cut.view(np.int64)), pa.array(np.repeat(node, other.sum(axis=1)))],
+                    [pa.array(_cut(own, keys)[other]), pa.array(np.repeat(node, other.sum(axis=1)))],
                     names=["key", "node"],
                 )
 
@@ -287,67 +285,154 @@ def cut_again(rows: DataFrame, nodes: DataFrame, rule: NearRule) -> DataFrame:
     )
 
 
-def cross_pairs(rows: DataFrame, nodes: DataFrame, rule: NearRule, forest: bool) -> DataFrame:
-    """Pairs of one key in different components whose sizes and signatures are near.
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """Rows of a sorted stream that agree in their first columns, one group at a time."""
+    group: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if group and row[:keys] != group[0][:keys]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
 
-    ``forest`` takes, within a block of a key, only pairs that connect something,
-    fewer than the block has rows; else all are found, block against block.
+
+def _cut(key: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The key of what shares two bands, given by their keys."""
+    return mix(mix(key.view(_U)) ^ other.view(_U)).view(np.int64)
+
+
+def _bands_of(own: int, keys: np.ndarray) -> tuple[int, int]:
+    """The band (twice) or the two bands that a group's key stands for, from a member's keys."""
+    plain = np.flatnonzero(keys == own)
+    if len(plain):
+        return int(plain[0]), int(plain[0])
+    a, b = np.nonzero(_cut(keys[:, None], keys[None, :]) == own)
+    return int(a[0]), int(b[0])
+
+
+def _in_common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """Shingles that two sets share, by both digests."""
+    place = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    return int(((b[0][place] == a[0]) & (b[1][place] == a[1])).sum())
+
+
+def _near(group: list[tuple], rule: NearRule, first_only: bool) -> Iterator[tuple]:
+    """Places x, y of rows in different components whose sizes and signatures are near.
+
+    Rows are (key, i, j, node, side, component, n, low, keys).  A pair of different
+    blocks has one row of each.  ``first_only`` leaves a pair to the first band
+    it shares, or the first two where the first one's key was cut again.
     """
-    rows = rows.join(nodes.select("node", "n", "low"), "node")
+    diagonal = group[0][1] == group[0][2]
+    side, component, n = (np.array([r[c] for r in group]) for c in (4, 5, 6))
+    low = np.frombuffer(b"".join(r[7] for r in group), np.uint8).reshape(-1, rule.size)
+    keys = np.frombuffer(b"".join(r[8] for r in group), np.int64).reshape(-1, rule.bands)
+    bands = _bands_of(group[0][0], keys[0]) if first_only else (0, 0)
+    for x in range(len(group) - 1):
+        y = np.arange(x + 1, len(group))
+        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        keep = (component[y] != component[x]) & (small * rule.den >= large * rule.num)
+        if not diagonal:
+            keep &= side[y] != side[x]
+        y = y[keep]
+        y = y[(low[y] == low[x]).sum(axis=1) >= rule.least_equal]
+        if first_only and len(y):
+            shared = keys[y] == keys[x]
+            first = shared.argmax(axis=1) == bands[0]
+            shared[:, bands[0]] &= bands[0] == bands[1]
+            y = y[first & (shared.argmax(axis=1) == bands[1])]
+        if len(y):
+            yield x, y, component
+
+
+_DEALT = ("key", "i", "j", "node", "side", "component", "n", "low", "keys")
+_DEALT_TYPE = (
+    "key long, i long, j long, node long, side int, component long, n long, low binary, keys binary"
+)
+
+
+def _in_order(rows: DataFrame, *more: str) -> DataFrame:
+    rows = rows.select(*_DEALT, *more)
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def forest_pairs(rows: DataFrame, nodes: DataFrame, rule: NearRule) -> DataFrame:
+    """Near pairs of one block of a key that connect something, fewer than it has rows."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    if forest:
-        rows = rows.select("*", own.alias("i"), own.alias("j"), F.lit(0).alias("side"))
-    else:
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-        rows = rows.select("*", own.alias("own")).select("*", other.alias("other")).select(
-            "*",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
-        )
+    rows = rows.join(nodes.select("node", "n", "low", "keys"), "node").select(
+        "*", own.alias("i"), own.alias("j"), F.lit(0).alias("side")
+    )
 
-    def pairs(held: list[tuple], diagonal: bool) -> list[tuple[int, int]]:
-        node, side, component, n = (np.array([h[i] for h in held]) for i in range(4))
-        low = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(-1, rule.size)
-        found = []
-        for x in range(len(held) - 1):
-            y = np.arange(x + 1, len(held))
-            small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-            keep = (component[y] != component[x]) & (small * rule.den >= large * rule.num)
-            if not diagonal:
-                keep &= side[y] != side[x]
-            y = y[keep]
-            y = y[(low[y] == low[x]).sum(axis=1) >= rule.least_equal]
-            if forest and len(y):
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, 3):
+            found = []
+            for x, y, component in _near(group, rule, False):
+                y = y[component[y] != component[x]]
                 joined, at = np.unique(component[y], return_index=True)
-                y = y[at]
                 component[np.isin(component, joined)] = component[x]
-            found += [(min(node[x], m), max(node[x], m)) for m in node[y].tolist()]
-        return found
+                found += [sorted((group[x][3], group[k][3])) for k in y[at].tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+    return _in_order(rows).mapInArrow(build, "a long, b long").distinct()
 
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
 
-        for batch in batches:
-            found = []
-            for k, i, j, *rest in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (k, i, j) != key:
-                    if len(held) > 1:
-                        found += pairs(held, key[1] == key[2])
-                    key, held = (k, i, j), []
-                held.append(tuple(rest))
-            yield out(found)
-        if len(held) > 1:
-            yield out(pairs(held, key[1] == key[2]))
+def block_links(rows: DataFrame, nodes: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+    """All links between different components of one key, block against block.
+
+    Pairs are never written: rows that have a near partner get their text, and
+    the block they meet in compares the full shingle sets.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = rows.join(nodes.select("node", "n", "low", "keys"), "node")
+    rows = rows.select("*", own.alias("own")).select("*", other.alias("other")).select(
+        "*",
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+    )
+    kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()] * 2
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, 3):
+            used = np.zeros(len(group), bool)
+            for x, y, _ in _near(group, rule, True):
+                used[x] = True
+                used[y] = True
+            columns = list(zip(*[r for r, u in zip(group, used, strict=True) if u], strict=True))
+            if columns:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(_DEALT)
+                )
+
+    kept = landed(_in_order(rows).mapInArrow(paired, _DEALT_TYPE), "near-rows")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = texts.join(kept, F.col("doc_id") == F.col("node"))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, 3):
+            sets = [shingle_digests(r[9].encode() if r[9] else None, rule.words) for r in group]
+            empty = not all(len(s[0]) for s in sets)
+            if empty:  # rows that repeat an id of the group without a text
+                group = [r for r, s in zip(group, sets, strict=True) if len(s[0])]
+                sets = [s for s in sets if len(s[0])]
+                if not group:
+                    continue
+            edges = []
+            for x, y, _ in _near(group, rule, True):
+                for k in y.tolist():
+                    both = _in_common(sets[x], sets[k])
+                    if rule.links(len(sets[x][0]), len(sets[k][0]), both):
+                        edges.append((group[x][3], group[k][3]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
 
-    ordered = rows.select("key", "i", "j", "node", "side", "component", "n", "low")
-    ordered = ordered.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return ordered.mapInArrow(build, "a long, b long").distinct()
+    return _in_order(found, "text").mapInArrow(test, "a long, b long").distinct()
 
 
 def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
@@ -375,9 +460,8 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         "set-nodes",
     )
     # ids whose rows have other sets as well are one node with them
-    members = sets.where(usable).select("name", "doc_id").distinct()
-    members = members.join(nodes.select("name", "node"), "name")
-    same = members.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    own = sets.where(usable).select("name", "doc_id").distinct()
+    same = own.join(nodes.select("name", "node"), "name").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     repeated = sets.where(usable).groupBy("doc_id").agg(
         F.min("name").alias("x"), F.max("name").alias("y")
     ).where("x <> y").select(F.col("doc_id").alias("b"))
@@ -403,21 +487,21 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     if found.limit(1).count():
         links = links.unionByName(found)
         parts = connected(links)
-    for forest in (True, False):
-        # a pivot has been tested against all of its key
-        rows = unresolved(groups.where("node <> pivot").select("key", "node"), nodes, parts)
-        if not forest:
-            rows = landed(rows, "mixed-keys")
-            large = cut_again(rows.where("blocks > 1"), nodes, rule)
-            rows = rows.where("blocks = 1").unionByName(unresolved(large, nodes, parts), True)
-        rows = landed(rows, "unresolved")
-        if not rows.limit(1).count():
-            break
-        more = near_pairs(cross_pairs(rows, nodes, rule, forest), nodes, rule)
-        new = landed(verified(more, docs, rule), "links")
-        if new.limit(1).count():
-            links = links.unionByName(new)
+    members = groups.where("node <> pivot").select("key", "node")
+    # a pivot has been tested against all of its key
+    rows = landed(unresolved(members, nodes, parts), "unresolved")
+    if rows.limit(1).count():
+        more = near_pairs(forest_pairs(rows, nodes, rule), nodes, rule)
+        found = landed(verified(more, docs, rule), "links")
+        if found.limit(1).count():
+            links = links.unionByName(found)
             parts = connected(links)
+        rows = landed(unresolved(members, nodes, parts), "unresolved")
+        large = cut_again(rows.where("blocks > 1"), nodes, rule)
+        rows = rows.where("blocks = 1").unionByName(unresolved(large, nodes, parts), True)
+        found = landed(block_links(landed(rows, "mixed-keys"), nodes, docs, rule), "links")
+        if found.limit(1).count():
+            parts = connected(links.unionByName(found))
     place = landed(
         nodes.join(parts, "node", "left").select(
             "name", F.coalesce("component", "node").alias("component_id")

@@ -44,7 +44,7 @@ def test_against_all_pairs(spark, docs_of, rng):
     assert result(near_components(docs_of(rows))) == sorted(brute(rows), key=str)
 
 
-@pytest.mark.parametrize("block", [1024, 8])
+@pytest.mark.parametrize("block", [512, 8])
 def test_large_group_and_shared_passage(spark, docs_of, rng, monkeypatch, block):
     """Chains of near copies, copies, and texts alike in most but not enough words."""
     monkeypatch.setattr(circulant_minhash, "BLOCK", block)
