@@ -250,15 +250,30 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
     return ordered.mapInArrow(test, "a long, b long")
 
 
-def unresolved(rows: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows (key, node) of keys that still hold several components."""
-    place = nodes.select("node").distinct().join(parts, "node", "left")
-    rows = rows.join(place.select("node", F.coalesce("component", "node").alias("component")), "node")
+def keys_of(rows: DataFrame) -> DataFrame:
+    """Rows (key, node) as one row a node with its keys, ``bands`` at most for each of its sets."""
+    return rows.groupBy("node").agg(F.collect_list("key").alias("shared"))
+
+
+def with_component(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows``, one a node, with the component the node is in so far."""
+    place = parts.select("node", "component")
+    return rows.join(place, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def unresolved(rows: DataFrame) -> DataFrame:
+    """Rows (key, node, component) of keys that still hold several components."""
     mixed = rows.groupBy("key").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("g")
     )
     mixed = mixed.where("x <> y").select("key", F.ceil(F.col("g") / BLOCK).alias("blocks"))
-    return rows.join(mixed, "key")
+    return rows.join(mixed, "key").select("key", "node", "component", "blocks")
+
+
+def unresolved_members(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """``unresolved`` of rows (node, shared); components are joined before keys are unfolded."""
+    placed = with_component(members, parts)
+    return unresolved(placed.select(F.explode("shared").alias("key"), "node", "component"))
 
 
 def cut_again(rows: DataFrame, nodes: DataFrame, rule: NearRule) -> DataFrame:
@@ -270,18 +285,20 @@ def cut_again(rows: DataFrame, nodes: DataFrame, rule: NearRule) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 some = batch.slice(at, SLICE)
-                key, node = (some.column(i).to_numpy() for i in (0, 1))
-                keys = np.frombuffer(b"".join(some.column(2).to_pylist()), np.int64)
+                key, node, component = (some.column(i).to_numpy() for i in range(3))
+                keys = np.frombuffer(b"".join(some.column(3).to_pylist()), np.int64)
                 keys = keys.reshape(-1, rule.bands)
                 other = keys != key[:, None]
                 own = np.repeat(key, rule.bands).reshape(keys.shape)
+                times = other.sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_cut(own, keys)[other]), pa.array(np.repeat(node, other.sum(axis=1)))],
-                    names=["key", "node"],
+                    [pa.array(_cut(own, keys)[other]), *[pa.array(np.repeat(c, times)) for c in (node, component)]],
+                    names=["key", "node", "component"],
                 )
 
-    return rows.select("key", "node").join(bands, "node").select("key", "node", "keys").mapInArrow(
-        build, "key long, node long"
+    wanted = rows.select("key", "node", "component").join(bands, "node")
+    return wanted.select("key", "node", "component", "keys").mapInArrow(
+        build, "key long, node long, component long"
     )
 
 
@@ -487,18 +504,18 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     if found.limit(1).count():
         links = links.unionByName(found)
         parts = connected(links)
-    members = groups.where("node <> pivot").select("key", "node")
     # a pivot has been tested against all of its key
-    rows = landed(unresolved(members, nodes, parts), "unresolved")
+    members = landed(keys_of(stars), "member-keys")
+    rows = landed(unresolved_members(members, parts), "unresolved")
     if rows.limit(1).count():
         more = near_pairs(forest_pairs(rows, nodes, rule), nodes, rule)
         found = landed(verified(more, docs, rule), "links")
         if found.limit(1).count():
             links = links.unionByName(found)
             parts = connected(links)
-        rows = landed(unresolved(members, nodes, parts), "unresolved")
+        rows = landed(unresolved_members(members, parts), "unresolved")
         large = cut_again(rows.where("blocks > 1"), nodes, rule)
-        rows = rows.where("blocks = 1").unionByName(unresolved(large, nodes, parts), True)
+        rows = rows.where("blocks = 1").unionByName(unresolved(large))
         found = landed(block_links(landed(rows, "mixed-keys"), nodes, docs, rule), "links")
         if found.limit(1).count():
             parts = connected(links.unionByName(found))
