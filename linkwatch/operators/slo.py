@@ -27,6 +27,7 @@ from linkwatch.functions.temporal import (
 GOOD = ("valid", "duplicate")
 CLAMP = 0.000001
 ERROR_BUDGET = 0.01
+FIRING, ENDED = "firing", "ended"
 # Upper bounds of the duration histogram, in seconds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
 
@@ -192,3 +193,29 @@ def sustained(
         timestamp_of("b").alias("last_true_at"),
         F.col("n").alias("evaluations"),
     )
+
+
+def alert_events(stretches: DataFrame, last: Column, step: float, keys: Sequence[str] = ()):
+    """What ``sustained`` stretches mean to who is told: an alert fires once its
+    condition has held, and ends at the first evaluation without it, if there
+    was one by ``last`` (epoch microseconds)."""
+    step_us = round(step * MICROS)
+    since, fires, true_at = (
+        F.unix_micros(c) for c in ("pending_since", "firing_at", "last_true_at")
+    )
+    shared = [*keys, "pending_since"]
+    fired = stretches.select(
+        F.lit(FIRING).alias("kind"),
+        F.col("firing_at").alias("at"),
+        *shared,
+        F.col("firing_at").alias("last_true_at"),
+        ((fires - since) / F.lit(step_us) + 1).cast("bigint").alias("evaluations"),
+    )
+    ended = stretches.where(true_at < last).select(
+        F.lit(ENDED).alias("kind"),
+        timestamp_of(true_at + F.lit(step_us)).alias("at"),
+        *shared,
+        "last_true_at",
+        "evaluations",
+    )
+    return fired.unionByName(ended)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1514,22 +1515,41 @@ def _landed(spark, rows: DataFrame, name: str) -> str:
     return path
 
 
-def _landed_in_order(spark, rows: DataFrame, column: str, parts: int) -> str:
-    """Rows in ``parts`` equal stretches of a column, written one after the other."""
+def _stretches(spark, rows: DataFrame, column: str, parts: int) -> list[DataFrame]:
+    """Rows cut into ``parts`` equal stretches of a column; one if there are none."""
     rows = spark.read.parquet(_landed(spark, rows, "unordered"))
     low, high = rows.agg(F.min(column), F.max(column)).first()
-    path = scratch_path(spark, "ordered")
     if low is None:
-        rows.write.parquet(path)
-        return path
+        return [rows]
     place = F.least(
         F.floor((F.col(column) - low) * parts / F.lit(max(1, high - low))), F.lit(parts - 1)
     )
-    for n in range(parts):
-        rows.where(place == n).coalesce(1).write.mode("append").parquet(path)
+    return [rows.where(place == n) for n in range(parts)]
+
+
+def _landed_in_order(spark, rows: DataFrame, column: str, parts: int) -> str:
+    """Rows in ``parts`` equal stretches of a column, written one after the other."""
+    path = scratch_path(spark, "ordered")
+    for stretch in _stretches(spark, rows, column, parts):
+        stretch.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
+@contextmanager
+def _keyed_state(spark):
+    """The state store of keyed state, for the streams started inside."""
+    from linkwatch.streaming.lifecycle import STATE_STORE
+
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(
+            STATE_STORE[0], before
+        )
+
+
 @query("stream_window_metrics", _METRICS_SQL)
 def stream_window_metrics(spark, folder):
     """Landed records through the metrics stream; all arrive in one trigger, so
@@ -1592,7 +1612,7 @@ def _stream_lifecycle(
 ):
     """The stream's output over landed evaluations; ``held`` names those that were made."""
     from linkwatch.streaming.jobs import start_query
-    from linkwatch.streaming.lifecycle import STATE_STORE, finding_type, lifecycle_stream, tick_rows
+    from linkwatch.streaming.lifecycle import finding_type, lifecycle_stream, tick_rows
 
     t = _rules(spark, folder)
     found = spark.read.parquet(_landed(spark, _findings(t), "findings"))
@@ -1609,9 +1629,7 @@ def _stream_lifecycle(
         source = source.option("maxFilesPerTrigger", 2)
     ticks = source.parquet(landed)
     out = scratch_path(spark, "stream-lifecycle")
-    before = spark.conf.get(STATE_STORE[0], None)
-    spark.conf.set(*STATE_STORE)
-    try:
+    with _keyed_state(spark):
         start_query(
             lifecycle_stream(ticks, CFG, finding_type(found), delay=delay),
             lambda batch, n: sinks.append_batch(batch, f"{out}/transitions", n),
@@ -1619,10 +1637,6 @@ def _stream_lifecycle(
             checkpoint=f"{out}/checkpoint",
             mode="append",
         ).awaitTermination()
-    finally:
-        spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(
-            STATE_STORE[0], before
-        )
     return spark.read.parquet(f"{out}/transitions")
 
 
@@ -1693,6 +1707,106 @@ def stream_lifecycle_losses(spark, folder):
     )
 
 
+def _alert_sql(alert: str, ticks: str, hold: int) -> str:
+    """Events of an alert over the ticks at which its condition holds."""
+    step = SLO_SQL["step"]
+    span = f"""(SELECT MIN(tick) AS a, MAX(tick) AS b, COUNT(*) AS n FROM (
+    SELECT tick, epoch_us(tick) - row_number() OVER (ORDER BY tick) * {step}000000 AS island
+    FROM ({ticks})) GROUP BY island)"""
+    held = f"epoch_us(b) - epoch_us(a) >= {hold}000000"
+    fires = f"a + INTERVAL {hold} SECOND"
+    return f"""
+SELECT '{alert}' AS alert, 'firing' AS kind, {ts(fires)} AS at, {ts('a')} AS pending_since,
+  {ts(fires)} AS last_true_at, CAST({hold // step + 1} AS BIGINT) AS evaluations
+FROM {span} WHERE {held}
+UNION ALL
+SELECT '{alert}', 'ended', {ts(f'b + INTERVAL {step} SECOND')}, {ts('a')}, {ts('b')}, n
+FROM {span} WHERE {held} AND b < (SELECT MAX(tick) FROM slo_ticks)"""
+
+
+_ALERTS_SQL = " UNION ALL ".join(
+    (
+        _alert_sql("burn", f"SELECT tick FROM slo_burn WHERE burn > {_BURN_LIMIT}", 3600),
+        _alert_sql(
+            "growth", "SELECT DISTINCT tick FROM slo_rows WHERE outcome = 'dead_lettered'", 0
+        ),
+    )
+)
+
+
+@query("slo_alert_events", _ALERTS_SQL, extra=_SLO_PARTS)
+def slo_alert_events(spark, folder):
+    """Sustained burn and dead-letter growth as events, from the batch series."""
+    t = Telemetry(spark, folder)
+    last = TickSpan.covering(t.kafka, "timestamp", SLO_CADENCE).last
+    step = SLO_CADENCE.step
+    burning = K.sustained(
+        K.burn(_ratios(spark, t)), F.col("burn") > _BURN_LIMIT, hold=3600, step=step
+    )
+    grown = K.growth(_outcome_log(t), SLO_CADENCE, "dead_lettered")
+    growing = K.sustained(grown, F.col("increase") > 0, hold=0, step=step)
+    named = [("burn", burning), ("growth", growing)]
+    events = [
+        K.alert_events(rows, last, step).select(F.lit(name).alias("alert"), "*")
+        for name, rows in named
+    ]
+    return events[0].unionByName(events[1])
+
+
+@query("stream_alerts", _ALERTS_SQL, extra=_SLO_PARTS)
+def stream_alerts(spark, folder):
+    """The same events from keyed state with timers, over six triggers and a restart.
+
+    The outcome log arrives in order of time; a row of the clock at the last tick
+    ends it, so the silence since the last outcome is evaluated too.
+    """
+    from linkwatch.streaming.alerts import (
+        Alert,
+        alert_stream,
+        burning,
+        growing,
+        outcome_measures,
+    )
+    from linkwatch.streaming.jobs import start_query
+
+    t = Telemetry(spark, folder)
+    log = _outcome_log(t).select("ts", "outcome", F.unix_micros("ts").alias("at_us"))
+    stretches = _stretches(spark, log, "at_us", 6)
+    last = TickSpan.covering(t.kafka, "timestamp", SLO_CADENCE).last
+    clock = spark.range(1).select(
+        timestamp_of(last).alias("ts"),
+        F.lit(None).cast("string").alias("outcome"),
+        last.alias("at_us"),
+    )
+    landed, out = scratch_path(spark, "outcomes"), scratch_path(spark, "stream-alerts")
+    alerts = (
+        Alert("burn", burning(_BURN_LIMIT, SLO_CADENCE.lookback), 3600),
+        Alert("growth", growing("dead_lettered")),
+    )
+    with _keyed_state(spark):
+        for arrived in (stretches[:3], [*stretches[3:], clock]):
+            for rows in arrived:
+                rows.coalesce(1).write.mode("append").parquet(landed)
+            source = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
+            events = alert_stream(
+                source.parquet(landed),
+                alerts,
+                SLO_CADENCE,
+                outcome_measures("dead_lettered"),
+                delay="0 seconds",
+            )
+            start_query(
+                events,
+                lambda batch, n: sinks.append_batch(batch, f"{out}/events", n),
+                name="service-level-alerts",
+                checkpoint=f"{out}/checkpoint",
+                mode="append",
+            ).awaitTermination()
+    return spark.read.parquet(f"{out}/events").select(
+        "alert", "kind", "at", "pending_since", "last_true_at", "evaluations"
+    )
+
+
 @query(
     "csv_roundtrip",
     """SELECT 'agent_performance' AS dataset, (SELECT COUNT(*) FROM (SELECT DISTINCT agent_id, agent_role, source_kind,
