@@ -37,6 +37,8 @@ PLACES = 1 << PLACE_BITS
 SLICE = 256
 CHUNK = 2048
 BLOCK = 1024
+# keys of more blocks are cut by a second band: a row has one copy a block, or one a band
+CUT_BLOCKS = 8
 STAR = 256
 REMEMBERED_WORDS = 400_000
 LONGEST_REMEMBERED = 64
@@ -514,8 +516,8 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
             links = links.unionByName(found)
             parts = connected(links)
         rows = landed(unresolved_members(members, parts), "unresolved")
-        large = cut_again(rows.where("blocks > 1"), nodes, rule)
-        rows = rows.where("blocks = 1").unionByName(unresolved(large))
+        large = cut_again(rows.where(F.col("blocks") > CUT_BLOCKS), nodes, rule)
+        rows = rows.where(F.col("blocks") <= CUT_BLOCKS).unionByName(unresolved(large))
         found = landed(block_links(landed(rows, "mixed-keys"), nodes, docs, rule), "links")
         if found.limit(1).count():
             parts = connected(links.unionByName(found))

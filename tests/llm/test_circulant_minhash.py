@@ -48,6 +48,7 @@ def test_against_all_pairs(spark, docs_of, rng):
 def test_large_group_and_shared_passage(spark, docs_of, rng, monkeypatch, block):
     """Chains of near copies, copies, and texts alike in most but not enough words."""
     monkeypatch.setattr(circulant_minhash, "BLOCK", block)
+    monkeypatch.setattr(circulant_minhash, "CUT_BLOCKS", 1)
     monkeypatch.setattr(circulant_minhash, "STAR", 4)
     base, rows = prose(rng, 80, 5000), []
     chain = list(base)
