@@ -1,11 +1,11 @@
 """Licence notices found through a positional index of rare words.
 
 Templates are indexed by word and place.  A corpus count gives each licence
-word an inverse document frequency; the rarest word of every mandatory phrase
-is its template's anchor.  Anchors found in a file are looked up, the places of
-a template's other words are intersected by relative position, and a template
-is reported where its mandatory phrase stands and enough of the template
-stands around it.  The index holds the templates alone, whatever the corpus.
+word an inverse document frequency.  A file's licence words are looked up from
+the rarest on, their postings are intersected by relative position, and a
+template is reported where its mandatory phrase is verified and enough of the
+template stands around it.  The index holds the templates alone, whatever the
+corpus.
 """
 
 from __future__ import annotations
@@ -69,6 +69,10 @@ COLUMNS = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long,"
     " base_labels string, labels string, score double"
 )
+DOCUMENTS = b""  # the number of documents among word counts; no word is empty
+LOOKUPS = 3  # words of a phrase whose postings are intersected before it is verified
+DRIFT = 2
+DRIFTS = sorted(range(-DRIFT, DRIFT + 1), key=abs)
 FINDINGS = "doc_id long, label string, start long, length long, share double"
 
 
@@ -98,15 +102,17 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[bytes, int]:
-    """How many documents hold each licence word; counted over all of them.
+    """How many documents hold each licence word, and under ``DOCUMENTS`` how many there are.
 
-    Tasks send one count per licence word, and the result has one per word.
+    Counted over all of them: tasks send one count per licence word, and the
+    result has one per word.  An empty table gives no counts.
     """
     vocabulary = {w for t in TEMPLATES for w in t.words}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
         for batch in batches:
+            found[DOCUMENTS] += batch.num_rows
             for text in batch.column(0).cast(pa.binary()).to_pylist():
                 found.update(vocabulary.intersection(words_of(text)))
         yield pa.RecordBatch.from_arrays(
@@ -119,45 +125,85 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[bytes,
 
 
 class PositionalIndex:
-    """Postings (template, place) of every template word, and each template's anchor."""
+    """Postings (template, place) of every template word, and the words' rarity.
 
-    def __init__(self, frequencies: dict[bytes, int]):
-        documents = max(frequencies.values(), default=0) + 1
+    ``keys`` holds the postings of mandatory phrases alone: a template can only
+    stand where all words of its phrase do, so these open and narrow the places
+    where it may begin; ``postings`` tell how much of it stands there.
+    """
+
+    def __init__(self, frequencies: dict[bytes, int], templates: tuple[Template, ...] = TEMPLATES):
+        documents = frequencies.get(DOCUMENTS, max(frequencies.values(), default=0))
+        self.templates = templates
         self.idf = {
             w: math.log((documents + 1) / (frequencies.get(w, 0) + 1))
-            for t in TEMPLATES
+            for t in templates
             for w in t.words
         }
-        self.anchors: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for n, t in enumerate(TEMPLATES):
-            rare = max(range(len(t.phrase)), key=lambda i, t=t: (self.idf[t.phrase[i]], -i))
-            self.anchors[t.phrase[rare]].append((n, t.at + rare))
+        self.keys: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.weight = [0.0] * len(templates)
+        for n, t in enumerate(templates):
             for i, w in enumerate(t.words):
                 self.postings[w].append((n, i))
-        self.rare = frozenset(self.anchors)
+                self.weight[n] += 1.0 + self.idf[w]
+                if t.at <= i < t.at + len(t.phrase):
+                    self.keys[w].append((n, i))
+        self.needs = [frozenset(t.phrase) for t in templates]
+
+    def starts(self, places: dict[bytes, dict[int, None]]) -> dict[int, list[int]]:
+        """Where templates may begin: postings of rare words met by relative position.
+
+        Licence words of the file are taken from the rarest on.  The first that a
+        template's phrase holds opens its starts, up to ``LOOKUPS - 1`` others
+        narrow them; templates whose phrase lacks a word in the file never open.
+        """
+        able = {n for n, need in enumerate(self.needs) if need <= places.keys()}
+        found: dict[int, list[int]] = {}
+        used: Counter[int] = Counter()
+        for word in sorted(places.keys() & self.keys.keys(), key=lambda w: (-self.idf[w], w)):
+            here = places[word]
+            for n, place in self.keys[word]:
+                if n not in able or used[n] == LOOKUPS:
+                    continue
+                used[n] += 1
+                if n in found:
+                    found[n] = [x for x in found[n] if x + place in here]
+                else:
+                    found[n] = [i - place for i in here]
+        return found
+
+    def share(self, n: int, start: int, places: dict[bytes, dict[int, None]]) -> float:
+        """Weighted share of a template's words that stand around a start, its phrase included.
+
+        From the phrase outwards a word may stand up to ``DRIFT`` places off where
+        the last one found puts it, so insertions and losses carry on.
+        """
+        t = self.templates[n]
+        matched = sum(1.0 + self.idf[w] for w in t.phrase)
+        for side in (range(t.at - 1, -1, -1), range(t.at + len(t.phrase), len(t.words))):
+            shift = start
+            for k in side:
+                here = places.get(t.words[k], ())
+                off = next((d for d in DRIFTS if shift + k + d in here), None)
+                if off is not None:
+                    matched += 1.0 + self.idf[t.words[k]]
+                    shift += off
+        return matched / self.weight[n]
 
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """Template number, place of its mandatory phrase and the share of it that stands there."""
-        if self.rare.isdisjoint(words):
-            return []
-        found = []
+        places: dict[bytes, dict[int, None]] = {}
         for i, w in enumerate(words):
-            for n, place in self.anchors.get(w, ()):
-                t = TEMPLATES[n]
-                start = i - place  # where the template's first word would stand
+            if w in self.postings:
+                places.setdefault(w, {})[i] = None
+        found = []
+        for n, starts in self.starts(places).items():
+            t = self.templates[n]
+            for start in starts:
                 key = start + t.at
-                if key < 0 or tuple(words[key : key + len(t.phrase)]) != t.phrase:
-                    continue
-                total = matched = 0.0
-                for k, own in enumerate(t.words):
-                    weight = 1.0 + self.idf[own]
-                    total += weight
-                    # a word may have moved by one or two places outside the phrase
-                    near = range(start + k - 2, start + k + 3)
-                    if any(0 <= j < len(words) and words[j] == own for j in near):
-                        matched += weight
-                found.append((n, key, matched / total))
+                if key >= 0 and tuple(words[key : key + len(t.phrase)]) == t.phrase:
+                    found.append((n, key, self.share(n, start, places)))
         return found
 
 
