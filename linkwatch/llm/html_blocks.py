@@ -5,13 +5,14 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from typing import NamedTuple
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)[^<>]*\Z",
-    re.S,
-)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_OPENING = re.compile(r"<[!?/a-zA-Z]")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">]++)*+)>", re.S)
+_NAME_END = re.compile(r"[\s/>]|\Z")
+_LONG_REFERENCE = re.compile(r"&#0*([0-9]+);?")
+_STOP = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|([^\s=\"'/]+)", re.S)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # HTML's void, raw-text and inline elements.
@@ -40,13 +41,157 @@ CLOSES = {
 WALLS = frozenset("ul ol dl table article section main div aside nav header footer form body".split())
 
 
+class Marks(NamedTuple):
+    """Known features of an ancestor: as one of many, as one of the nearest two, as the own element."""
+
+    far: tuple[str, ...]
+    near: tuple[str, ...]
+    own: str
+
+
+class Path:
+    """Ancestors of a block, innermost first; pages share what their paths share.
+
+    A sequence of (tag, attribute words), outermost first, when iterated or sliced.
+    """
+
+    __slots__ = ("parent", "item", "depth", "marks")
+
+    def __init__(self, parent: Path | None, item: tuple[str, tuple[str, ...]]):
+        self.parent, self.item, self.depth = parent, item, parent.depth + 1 if parent else 1
+        self.marks: Marks | None = None  # a reader's notes on the item
+
+    def last(self, n: int) -> list[tuple[str, tuple[str, ...]]]:
+        """Up to ``n`` innermost ancestors, outermost first."""
+        out, node = [], self
+        while node is not None and len(out) < n:
+            out.append(node.item)
+            node = node.parent
+        return out[::-1]
+
+    def __len__(self) -> int:
+        return self.depth
+
+    def __iter__(self):
+        return iter(self.last(self.depth))
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]  # tag and attribute words, outermost first
+    path: Path | tuple[()]  # tag and attribute words of the ancestors
     linked: int  # characters inside links
 
 
+class _Tags:
+    """The next tag, comment or broken end of a page, in time linear in the page.
+
+    A tag ends at the first ``>`` outside quotes.  Where none follows, the rest
+    of the page was read in vain; from then on ends are remembered: where the
+    quote at a place leads depends on that place alone.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.failed = page, False
+        self.last = max(page.rfind("<"), page.rfind(">"))
+        self.name = (-1, -1)  # a stretch without white space, slash or >
+        self.stop = -1  # the next quote or > behind a place, once looked for
+        self.ends: dict[int, int] = {}
+
+    def name_end(self, at: int) -> int:
+        if not self.name[0] <= at <= self.name[1]:
+            self.name = (at, _NAME_END.search(self.page, at).start())
+        return self.name[1]
+
+    def next_stop(self, at: int) -> int:
+        m = _STOP.search(self.page, at)
+        return m.start() if m else len(self.page)
+
+    def end(self, at: int) -> int:
+        """The ``>`` that ends the tag whose name ends here, or -1."""
+        page, way = self.page, []
+        if self.stop < at:
+            self.stop = self.next_stop(at)
+        place = self.stop
+        while place not in self.ends:
+            way.append(place)
+            if place == len(page):
+                self.ends[place] = -1
+            elif page[place] == ">":
+                self.ends[place] = place
+            else:
+                close = page.find(page[place], place + 1)
+                place = len(page) if close < 0 else self.next_stop(close + 1)
+        for x in way:
+            self.ends[x] = self.ends[place]
+        return self.ends[place]
+
+    def find(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name and attributes; a comment has no name, a broken end no ``>``."""
+        page = self.page
+        while m := _OPENING.search(page, at):
+            start = m.start()
+            if page[start + 1] in "!?":
+                return start, _COMMENT.match(page, start).end(), "", "", ""
+            slash = "/" if page[start + 1] == "/" else ""
+            first = start + 1 + len(slash)
+            at = start + 1
+            if not page[first : first + 1].isalpha() or not page[first].isascii():
+                continue
+            if not self.failed:
+                tag = _TAG.match(page, start)
+                if tag:
+                    return start, tag.end(), tag[1], tag[2], tag[3]
+                self.failed = True
+            edge = self.name_end(first)
+            end = self.end(edge)
+            if end >= 0:
+                return start, end + 1, slash, page[first:edge], page[edge:end]
+            if self.last < edge:
+                return start, len(page) + 1, slash, page[first:edge], ""
+        return None
+
+
+class _Open:
+    """Open elements, with the places of each kind and of walls, and the path of each."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.paths: list[Path | None] = []
+        self.of: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+
+    def push(self, tag: str, source: str) -> None:
+        path = self.path()
+        if tag not in INLINE:
+            path = Path(path, _attributes(tag, source))
+        self.of.setdefault(tag, []).append(len(self.tags))
+        if tag in WALLS:
+            self.walls.append(len(self.tags))
+        self.tags.append(tag)
+        self.paths.append(path)
+
+    def cut(self, at: int) -> None:
+        while len(self.tags) > at:
+            tag = self.tags.pop()
+            self.paths.pop()
+            self.of[tag].pop()
+            if tag in WALLS:
+                self.walls.pop()
+
+    def path(self) -> Path | None:
+        return self.paths[-1] if self.paths else None
+
+    def last(self, tag: str) -> int:
+        places = self.of.get(tag)
+        return places[-1] if places else -1
+
+    def closing(self, kinds: set[str]) -> int:
+        """The innermost open element of these kinds that no wall is inside of, or -1."""
+        at = max(map(self.last, kinds))
+        return at if at > (self.walls[-1] if self.walls else -1) else -1
+
+
 def _attributes(tag: str, source: str) -> tuple[str, tuple[str, ...]]:
     words: list[str] = []
     if source and not source.isspace():
@@ -60,6 +205,13 @@ def _attributes(tag: str, source: str) -> tuple[str, tuple[str, ...]]:
     return tag, tuple(words)
 
 
+def _decoded(piece: str) -> str:
+    """Character references resolved; a number too long for any character is the replacement sign."""
+    if "&#" in piece:
+        piece = _LONG_REFERENCE.sub(lambda m: m[0] if len(m[0]) < 99 else f"&#{m[1][:9]};", piece)
+    return html.unescape(piece)
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """Blocks in page order; white space is one blank, references are decoded.
 
@@ -69,80 +221,72 @@ def blocks_of(page: str | None) -> list[Block]:
     their own, and an element that no drawing holds ends one that is open.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = _Open()
     parts: list[str] = []
-    where: tuple[tuple[str, tuple[str, ...]], ...] | None = None
+    where: Path | None = None
+    placed = False
     linked = links = 0
 
     def flush() -> None:
-        nonlocal linked, where
+        nonlocal linked, where, placed
         if parts:
             text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(text, where or (), linked))
             parts.clear()
-        linked, where = 0, None
-
-    def close(kinds: set[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in kinds:
-                flush()
-                del stack[i:]
-                return
-            if stack[i][0] in WALLS:
-                return
+        linked, where, placed = 0, None, False
 
     page, at, lower = page or "", 0, None
+    tags = _Tags(page)
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        piece = page[at : m.start() if m else len(page)]
+        found = tags.find(at)
+        piece = page[at : found[0] if found else len(page)]
         if piece:
-            piece = html.unescape(piece) if "&" in piece else piece
+            piece = _decoded(piece) if "&" in piece else piece
             parts.append(piece)
-            if where is None and not piece.isspace():
+            if not placed and not piece.isspace():
                 # a drawing opens without an end of the block around it
-                where = tuple(x for x in stack if x[0] not in INLINE)
+                where, placed = stack.path(), True
             if links:
                 linked += len(piece.strip())
-        if not m:
+        if not found:
             break
-        at = m.end()
-        if m[5]:  # the page breaks off inside a tag
-            break
-        if not m[2]:
+        _, at, slash, name, source = found
+        if not name:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if at > len(page):  # the page breaks off inside a tag
+            break
+        tag, alone = name.lower(), source.endswith("/")
+        if slash:
             if tag == "a":
                 links = max(0, links - 1)
-            if any(x[0] == tag for x in stack):
+            if stack.last(tag) >= 0:
                 if tag not in INLINE and (tag not in DRAWING or tag in DRAWN_TEXT):
                     flush()
-                while stack.pop()[0] != tag:
-                    pass
+                stack.cut(stack.last(tag))
             elif tag == "p":
                 flush()
             continue
-        if tag in RAW and not m[3].endswith("/"):
+        if tag in RAW and not alone:
             lower = page.lower() if lower is None else lower
             end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{tag}", at)
             at = len(page) if end < 0 else end
             continue
-        open_drawing = next((i for i, x in enumerate(stack) if x[0] == "svg"), None)
-        if open_drawing is not None and not any(x[0] == "foreignobject" for x in stack):
+        drawings = stack.of.get("svg")
+        if drawings and stack.last("foreignobject") < 0:
             if tag in DRAWING or tag[:2] == "fe" or ":" in tag:
                 if tag in DRAWN_TEXT:
                     flush()
                 if tag == "a":
                     links += 1
-                if not m[3].endswith("/"):
-                    stack.append(_attributes(tag, m[3]))
+                if not alone:
+                    stack.push(tag, source)
                 continue
             flush()
-            del stack[open_drawing:]
+            stack.cut(drawings[0])
         if tag == "svg":
-            if not m[3].endswith("/"):
-                stack.append(_attributes(tag, m[3]))
+            if not alone:
+                stack.push(tag, source)
             continue
         if tag in ("br", "mtd"):
             parts.append(" ")
@@ -152,11 +296,13 @@ def blocks_of(page: str | None) -> list[Block]:
             continue
         if tag not in INLINE:
             flush()
-            close(CLOSES.get(tag, {"p"}))
+            ended = stack.closing(CLOSES.get(tag, {"p"}))
+            if ended >= 0:
+                stack.cut(ended)
             links = 0
         elif tag == "a":
             links += 1
-        if not m[3].endswith("/"):
-            stack.append(_attributes(tag, m[3]))
+        if not alone:
+            stack.push(tag, source)
     flush()
     return out

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import random
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwatch.llm.html_blocks import Block, blocks_of
+from linkwatch.llm.html_blocks import Block, Marks, Path, blocks_of
 
 MEMORY = 50_000
 CHAIN = 48
@@ -50,11 +51,16 @@ SEMANTIC = {
 
 @dataclass(frozen=True)
 class Training:
-    """The sample: pages read, longest page, layouts made of each, and the fit."""
+    """The sample: pages read, longest page, layouts made of each, and the fit.
+
+    Of a page with many main blocks the first ``blocks`` are dressed again; this
+    bounds labelled pages alone, no page that is extracted.
+    """
 
     pages: int = 150
     longest: int = 40_000
     layouts: int = 4
+    blocks: int = 40
     steps: int = 300
     penalty: float = 2e-5
     seed: int = 7
@@ -67,14 +73,21 @@ class Field:
     change: tuple[tuple[float, float], tuple[float, float]]
 
 
-def path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> list[str]:
-    out = {f"own={path[-1][0]}"} if path else {"own="}
-    for tag, words in path:
-        out.add(f"in={tag}")
-        out.update(f"word={w}" for w in words)
-    near = [w for _, words in path[-2:] for w in words]
-    out.update(f"near={w}" for w in near)
-    return sorted(out)
+def item_features(item: tuple[str, tuple[str, ...]]) -> set[str]:
+    """What an ancestor says of all blocks below it."""
+    return {f"in={item[0]}"}.union(f"word={w}" for w in item[1])
+
+
+def near_features(path: Path | tuple[()]) -> set[str]:
+    """What a block's own element and the one around it say besides."""
+    if not path:
+        return {"own="}
+    near = path.last(2)
+    return {f"own={near[-1][0]}"}.union(f"near={w}" for _, words in near for w in words)
+
+
+def path_features(path: Path | tuple[()]) -> list[str]:
+    return sorted(near_features(path).union(*map(item_features, path)))
 
 
 def text_features(block: Block) -> list[str]:
@@ -161,25 +174,76 @@ def train(pages: list[tuple[list[Block], list[int]]], rule: Training = Training(
 
 
 class Decoder:
-    """Viterbi over the blocks of a page; scores of a path of ancestors are remembered."""
+    """Viterbi over the blocks of a page.
+
+    From block to block only the ancestors that differ are counted anew, so a
+    page's paths take time in the number of its tags, however deep they stand.
+    """
 
     def __init__(self, field: Field):
         self.field = field
-        self.paths: dict[tuple, float] = {}
+        self.items: dict[tuple, Marks] = {}
+        self.restart()
+
+    def restart(self) -> None:
+        self.path: Path | None = None
+        self.seen: Counter[str] = Counter()
+        self.known = 0.0
+
+    def marks(self, node: Path) -> Marks:
+        if node.marks is None:
+            found = self.items.get(node.item)
+            if found is None:
+                if len(self.items) > MEMORY:
+                    self.items.clear()
+                weights, (tag, words) = self.field.weights, node.item
+                far = sorted(f for f in item_features(node.item) if f in weights)
+                near = sorted(f for f in {f"near={w}" for w in words} if f in weights)
+                found = self.items[node.item] = Marks(tuple(far), tuple(near), f"own={tag}")
+            node.marks = found
+        return node.marks
+
+    def enter(self, path: Path | None) -> None:
+        """Make this path the counted one: leave and enter what the two do not share."""
+        here, new = self.path, []
+        while here is not path:
+            if path is None or here is not None and here.depth >= path.depth:
+                self.count(here, -1)
+                here = here.parent
+            else:
+                new.append(path)
+                path = path.parent
+        for node in reversed(new):
+            self.count(node, 1)
+        self.path = new[0] if new else here
+
+    def count(self, node: Path, step: int) -> None:
+        for f in self.marks(node).far:
+            before = self.seen[f]
+            self.seen[f] = before + step
+            if not before or not before + step:
+                self.known += step * self.field.weights[f]
+        if node.depth == 1 and step < 0:
+            self.known = 0.0  # no ancestor is left, nor a rounding error
 
     def emission(self, block: Block) -> float:
-        weights = self.field.weights
-        known = self.paths.get(block.path)
-        if known is None:
-            if len(self.paths) > MEMORY:
-                self.paths.clear()
-            known = sum(weights.get(f, 0.0) for f in path_features(block.path))
-            self.paths[block.path] = known
-        return known + sum(weights.get(f, 0.0) for f in text_features(block))
+        weights, path = self.field.weights, block.path or None
+        self.enter(path)
+        total = self.known
+        if path is None:
+            total += weights.get("own=", 0.0)
+        else:
+            mine = self.marks(path)
+            total += weights.get(mine.own, 0.0) + sum(weights[f] for f in mine.near)
+            if path.parent:
+                around = self.marks(path.parent).near
+                total += sum(weights[f] for f in around if f not in mine.near)
+        return total + sum(weights.get(f, 0.0) for f in text_features(block))
 
     def decode(self, blocks: list[Block]) -> list[int]:
         if not blocks:
             return []
+        self.restart()
         (stay, enter), (leave, go_on) = self.field.change
         other, main, came = 0.0, self.field.start + self.emission(blocks[0]), []
         for block in blocks[1:]:
@@ -204,8 +268,9 @@ def weak_labels(blocks: list[Block]) -> list[int]:
     other = {n for names in OTHER_NAMES.values() for n in names} | {"nav", "aside", "form", "footer"}
     out = []
     for b in blocks:
-        inside = next((i for i, (tag, _) in enumerate(b.path) if tag == "article"), None)
-        own = b.path[inside + 1 :] if inside is not None else ()
+        path = list(b.path)
+        inside = next((i for i, (tag, _) in enumerate(path) if tag == "article"), None)
+        own = path[inside + 1 :] if inside is not None else ()
         named = any(tag in other or other.intersection(words) for tag, words in own)
         out.append(int(inside is not None and not named))
     return out
@@ -301,7 +366,7 @@ def labelled_pages(
     out = list(known)
     for _ in range(rule.layouts):
         for main in mains:
-            page, marks = dressed(main[:40], strange, links, rng)
+            page, marks = dressed(main[: rule.blocks], strange, links, rng)
             blocks = blocks_of(page)
             labels = [int(b.text[:13] in marks) for b in blocks]
             plain = [Block(b.text[14:] or "-", b.path, max(0, b.linked - 14)) for b in blocks]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from itertools import product
 
 import pytest
@@ -14,6 +15,8 @@ from linkwatch.llm.html_extraction import (
     extracted,
     fitted,
     labelled_pages,
+    path_features,
+    text_features,
     train,
 )
 
@@ -94,6 +97,45 @@ def test_decoding_is_the_best_labelling(field, sample):
         assert total(decoder.decode(blocks)) == pytest.approx(total(best))
 
 
+def test_scores_along_the_tree_are_those_of_whole_paths(field, sample):
+    decoder = Decoder(field)
+    nested = "<div class='post a'><ul><li>x<li>y<div id=post><p>z</ul></div>w<p>v"
+    for page in [*sample[:20], nested, "".join(f"<section class='c{i % 7} nav'>t" for i in range(200))]:
+        decoder.restart()
+        for b in blocks_of(page):
+            whole = path_features(b.path) + text_features(b)
+            assert decoder.emission(b) == pytest.approx(sum(field.weights.get(f, 0.0) for f in whole))
+
+
+HOSTILE = [
+    '<a href="x ', "<a ", "<a", "<b '\"", "<", "<div>t", "<div class='c{}'>t", "<i></u>", "<li><section>",
+    "<svg><g>x", "<!--", "&#9",
+]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_time_grows_with_the_page_and_not_with_its_square(field, unit):
+    def seconds(size):
+        page = "".join(unit.format(i) for i in range(size // len(unit)))
+        begun = time.process_time()
+        Decoder(field).decode(blocks_of(page))
+        return time.process_time() - begun
+
+    small, large = seconds(100_000), seconds(1_600_000)
+    assert large < 16 * 4 * small + 1
+
+
+def test_long_inline_runs_inside_walls():
+    begun = time.process_time()
+    page = "<p><section>" + "<i>" * 200_000 + "<p>a</p>" * 60_000
+    assert len(blocks_of(page)) == 60_000 and time.process_time() - begun < 30
+
+
+def test_numbers_of_references_have_no_limit():
+    page = "<p>a&#" + "9" * 10_000 + ";b&#" + "0" * 10_000 + "65;c"
+    assert [b.text for b in blocks_of(page)] == ["a\ufffdbAc"]
+
+
 def test_held_out_layouts(field, sample):
     decoder, wrong, total = Decoder(field), 0, 0
     for blocks, labels in labelled_pages(sample[60:], Training(layouts=3, seed=23)):
