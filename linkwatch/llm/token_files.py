@@ -33,6 +33,7 @@ from linkwatch.llm.tokens import encoder
 MAGIC = b"LWTOKID1"
 NULL_ID = -(1 << 63)
 SLICE = 512
+FILE_BYTES = 1 << 28  # text behind one file
 MANIFEST = "part int, name string, n_docs long, n_tokens long, id_bytes int"
 SPANS = "doc_id long, start long, n_tokens long, ids_crc32 long, partition int"
 
@@ -58,8 +59,10 @@ def write_token_files(
     """Encode whole texts in ascending id order; returns the manifest.
 
     A null or empty text is just the end id.  Null ids come first.  Rows that
-    repeat an id are all written, next to each other.  An empty table gives an
-    empty manifest.  Only the two named columns are read.
+    repeat an id are all written, next to each other, in an order that depends on
+    their texts alone (by hash, then by text), whatever the input's order.  An
+    empty table gives an empty manifest.  Only the two named columns are read.  Without ``partitions`` there is one range per
+    ``FILE_BYTES`` of text, or one per shuffle partition where that is more.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +112,14 @@ def write_token_files(
         )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = narrow.repartitionByRange(count, "id").sortWithinPartitions("id")
+    if partitions is None:
+        size = narrow.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+        least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-size // FILE_BYTES))
+    # a hash splits an id that many rows share, without texts in the ranges' bounds
+    narrow = narrow.withColumn("tie", F.xxhash64("text"))
+    ordered = narrow.repartitionByRange(partitions, "id", "tie")
+    ordered = ordered.sortWithinPartitions("id", "tie", "text")
     return landed(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 

@@ -66,6 +66,29 @@ def test_token_files(spark, docs_of, rng):
     )
 
 
+def test_rows_that_repeat_an_id_stand_in_an_order_of_their_texts(docs_of):
+    rows = [(7, f"text {i} " * i) for i in range(40)] + [(None, "x y"), (None, None), (3, "z")]
+    got = []
+    for order in (rows, rows[::-1]):
+        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/files"
+        docs = docs_of(order)
+        manifest = write_token_files(docs, folder, default_tokenizer(), 2, partitions=4)
+        files = read_token_files(docs.sparkSession, folder, manifest)
+        got.append([(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in files.orderBy("start").collect()])
+        # a shared id is spread over files
+        assert files.where("doc_id = 7").select("partition").distinct().count() > 1
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+
+
+def test_files_follow_the_bytes_of_the_texts(docs_of, monkeypatch):
+    monkeypatch.setattr("linkwatch.llm.token_files.FILE_BYTES", 200)
+    docs = docs_of([(i, "some words of a text") for i in range(300)])
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/files"
+    parts = write_token_files(docs, folder, default_tokenizer(), 2)
+    assert parts.count() > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert parts.agg(F.sum("n_docs").alias("n")).first().n == 300
+
+
 def test_token_files_of_an_empty_table(spark, docs_of):
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/files"
     manifest = write_token_files(docs_of([]), folder, default_tokenizer(), 2)
