@@ -37,7 +37,7 @@ from linkwatch.operators.windows import window_metrics
 from linkwatch.plans import oracle as O
 from linkwatch.plans.oracle import day, ts
 from linkwatch.session import configure, scratch_path
-from linkwatch.sources import sinks
+from linkwatch.sources import sinks, versions
 from linkwatch.sources.tables import table
 from linkwatch.sources.telemetry import Telemetry
 
@@ -1820,12 +1820,11 @@ UNION ALL SELECT 'pipeline_health', 1, NULL""",
 def csv_roundtrip(spark, folder):
     """The four extracts written, promoted, and read back for verification."""
     t = _rules(spark, folder)
-    out = scratch_path(spark, "extracts") + "/current"
+    out = scratch_path(spark, "extracts")
     incidents = spark.read.parquet(_landed(spark, _incident_view(t), "incident-view"))
-    sinks.publish_csv(
-        X.export_bundle(_role_rows(t), incidents, _ingest_status(t)), out
-    )
-    return sinks.verify_csv(spark, out)
+    extracts = X.export_bundle(_role_rows(t), incidents, _ingest_status(t))
+    versions.publish_folders(spark, out, lambda folder: sinks.write_csv(extracts, folder))
+    return sinks.verify_csv(spark, versions.bundle_folder(spark, out))
 
 
 @query(
@@ -1837,10 +1836,10 @@ def replaced_range(spark, folder):
     """A stored fact whose range is replaced by fewer days; emptied days go."""
     fact = _fact(Telemetry(spark, folder))
     path = scratch_path(spark, "fact")
-    fact.repartition("date_utc").write.partitionBy("date_utc").parquet(path)
+    versions.publish_range(fact, path)
     fresh = fact.where(F.dayofmonth("date_utc") % 3 != 0)
-    sinks.replace_range(fresh, path, FIRST, LAST)
-    stored = spark.read.parquet(path)
+    versions.publish_range(fresh, path, FIRST, LAST)
+    stored = versions.read_table(spark, path)
     return stored.groupBy("date_utc").agg(
         F.count(F.lit(1)).alias("grains"), F.sum("total_count").alias("probes")
     )
@@ -1887,9 +1886,9 @@ def snapshot_replaced(spark, folder):
     rows = Telemetry(spark, folder).base.select("agent_id")
     path = scratch_path(spark, "snapshot")
     counts = rows.groupBy("agent_id").agg(F.count("*").alias("records"))
-    sinks.replace_snapshot(counts.withColumn("records", -F.col("records")), path)
-    sinks.replace_snapshot(counts, path)
-    return spark.read.parquet(path)
+    versions.publish_table(counts.withColumn("records", -F.col("records")), path)
+    versions.publish_table(counts, path)
+    return versions.read_table(spark, path)
 
 
 @query(

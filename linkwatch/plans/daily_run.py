@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from linkwatch.operators import daily as D
 from linkwatch.operators import quality as Q
 from linkwatch.operators import views as W
-from linkwatch.sources import files, sinks
+from linkwatch.sources import files, versions
 
 LONGEST_SCHEDULED_DAYS = 31
 JOB = "daily-reliability"
+FACT = "fact_daily"
+STAR = (FACT, "fact_incident", "bridge_agent_id", "bridge_endpoint_id")
 
 EVENT_SCHEMA = (
     "run_key string, seq bigint, event string, at timestamp, from_date date, through_date date, "
@@ -39,8 +41,8 @@ class Sources:
 class DailyRun:
     """Refreshes the star schema below ``out`` for one range of days.
 
-    Facts are written to a staging path, reconciled there, and only then moved
-    into place, so a failed run leaves the published tables as they were.
+    Facts are written to a staging path, reconciled there, and only then released,
+    all tables in one step, so a failed run leaves the published ones as they were.
     """
 
     def __init__(self, spark: SparkSession, sources: Sources, out: str) -> None:
@@ -98,7 +100,7 @@ class DailyRun:
         return Q.ledger_state(self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.out}/ledger"))
 
     def view(self) -> DataFrame:
-        return W.daily_reliability(self.spark.read.parquet(f"{self.out}/fact_daily"))
+        return W.daily_reliability(self.table(FACT))
 
     def _gate(self, first: dt.date, last: dt.date) -> dict:
         s = self.sources
@@ -130,11 +132,25 @@ class DailyRun:
         return daily.collect()[0]["mismatch_rows"], incidents.collect()[0]["mismatch_rows"]
 
     def _promote(self, staged: str, first: dt.date, last: dt.date) -> None:
-        fresh = self.spark.read.parquet(f"{staged}/fact_daily")
-        sinks.replace_range(fresh, f"{self.out}/fact_daily", first, last)
-        for name in ("fact_incident", "bridge_agent_id", "bridge_endpoint_id"):
-            files.swap(self.spark, f"{staged}/{name}", f"{self.out}/{name}")
-        files.delete(self.spark, staged)
+        spark, read = self.spark, self.spark.read.parquet
+        base = versions.current(spark, self.out)
+        before = {name: versions.released(spark, self.out, name, base) for name in STAR}
+        new = {
+            name: versions.publish_table(
+                read(f"{staged}/{name}"), f"{self.out}/{name}", base=before[name]
+            )
+            for name in STAR[1:]
+        }
+        new[FACT] = versions.publish_range(
+            read(f"{staged}/{FACT}"), f"{self.out}/{FACT}", first, last, base=before[FACT]
+        )
+        versions.release(spark, self.out, base, new)
+        files.delete(spark, staged)
+
+    def table(self, name: str) -> DataFrame:
+        """A table of the star schema as last released."""
+        found = versions.released(self.spark, self.out, name)
+        return versions.read_table(self.spark, f"{self.out}/{name}", version=found)
 
     def _job_run(self, first: dt.date, last: dt.date, now: dt.datetime) -> int:
         """Append the run; its id follows from what it did and when."""

@@ -1,6 +1,6 @@
-"""Directory moves on whatever file system the cluster shares.
+"""Directory moves and small files on whatever file system the cluster shares.
 
-Only names are touched here; the data is written by Spark jobs.
+Only names and notes of versions are touched here; the data is written by Spark jobs.
 """
 
 from __future__ import annotations
@@ -33,6 +33,30 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def create_text(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small new file; one that exists is left alone and is an error."""
+    path, fs = _path(spark, name)
+    if fs.exists(path):
+        raise FileExistsError(name)
+    stream = fs.create(path, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    """A small file as text."""
+    path, fs = _path(spark, name)
+    if not fs.exists(path):
+        raise FileNotFoundError(name)
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def children(spark: SparkSession, name: str) -> list[str]:
     path, fs = _path(spark, name)
     if not fs.exists(path):

@@ -178,21 +178,32 @@ def replace_snapshot(rows: DataFrame, path: str) -> None:
 # --- CSV extracts -----------------------------------------------------------------
 
 
-def publish_csv(datasets: dict[str, DataFrame], out: str) -> None:
-    """Write the four extracts aside and put them in place together."""
+def write_csv(datasets: dict[str, DataFrame], folder: str) -> None:
+    """Write the four extracts below a fresh folder."""
     if set(datasets) != set(X.DATASETS):
         raise ValueError(f"an export holds exactly {sorted(X.DATASETS)}")
     for name, rows in datasets.items():
         if tuple(rows.columns) != X.DATASETS[name]:
             raise ValueError(f"{name} has unexpected columns")
+    for name, rows in datasets.items():
+        rows.write.mode("overwrite").csv(
+            f"{folder}/{name}", header=True, nullValue="", emptyValue="", lineSep="\n",
+            encoding="UTF-8",
+        )
+
+
+def publish_csv(datasets: dict[str, DataFrame], out: str) -> None:
+    """Write the four extracts aside and put them in place together.
+
+    For readers that open fixed names; ``versions.publish_folders`` with
+    ``write_csv`` moves nothing.
+    """
+    if not datasets:
+        raise ValueError(f"an export holds exactly {sorted(X.DATASETS)}")
     spark = next(iter(datasets.values())).sparkSession
     staged = files.sibling(out, "staging")
     try:
-        for name, rows in datasets.items():
-            rows.write.mode("overwrite").csv(
-                f"{staged}/{name}", header=True, nullValue="", emptyValue="", lineSep="\n",
-                encoding="UTF-8",
-            )
+        write_csv(datasets, staged)
         files.swap(spark, staged, out)
     finally:
         files.delete(spark, staged)

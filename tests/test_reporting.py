@@ -16,7 +16,7 @@ from linkwatch.operators import quality as Q
 from linkwatch.operators import serving as P
 from linkwatch.operators import views as W
 from linkwatch.plans.daily_run import DailyRun, Sources
-from linkwatch.sources import sinks
+from linkwatch.sources import sinks, versions
 
 UTC = dt.timezone.utc
 DAY = dt.date(2026, 1, 5)
@@ -303,6 +303,23 @@ def test_daily_run_publishes_then_leaves_tables_alone_when_it_fails(spark, tmp_p
     ]
 
 
+def test_every_day_is_refreshed_and_a_run_that_stops_releases_nothing(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "star")
+    rows = probes(spark, (at(DAY, 1), True, 3.0, 0.0), (at(NEXT, 2), False, None, 100.0))
+    DailyRun(spark, _sources(spark, rows), out).run_all(at(NEXT, 3))
+    run = DailyRun(spark, _sources(spark, rows.unionByName(rows)), out)
+    assert sorted(r["date_utc"] for r in run.view().collect()) == [DAY, NEXT]
+    assert run.table("bridge_agent_id").count() == 2 and run.table("bridge_endpoint_id").count() == 1
+    with monkeypatch.context() as m:  # all tables are written, the release is not
+        m.setattr(versions, "release", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError, match="stopped"):
+            run.run_all(at(NEXT, 4))
+    assert [r["total_count"] for r in run.view().collect()] == [1, 1]
+    run.run_scheduled(at(NEXT, 5))  # the day before
+    got = {r["date_utc"]: r["total_count"] for r in run.view().collect()}
+    assert got == {DAY: 2, NEXT: 1}
+
+
 def test_repeated_agent_is_an_incident_mismatch(spark):
     incidents = _sources(spark, None).incidents
     doubled = incidents.withColumn("affected_agents", F.array(F.lit("a"), F.lit("a")))
