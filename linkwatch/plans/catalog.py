@@ -1904,6 +1904,64 @@ def state_log_appended(spark, folder):
     return whole.groupBy("state_revision", "status").agg(F.count("*").alias("events"))
 
 
+@query(
+    "incident_constraints",
+    """SELECT 'incidents' AS table_name, rule_name, violations FROM (
+  SELECT COUNT(*) FILTER (ended < start_time) AS time_order,
+    COUNT(*) FILTER ((state = 'resolved') <> (ended IS NOT NULL)) AS resolved_end,
+    COUNT(*) FILTER (state NOT IN ('candidate', 'open', 'recovering', 'resolved')) AS state
+  FROM faulty) UNPIVOT (violations FOR rule_name IN (time_order, resolved_end, state))
+UNION ALL SELECT 'incidents', 'one_open', COUNT(*) FROM (
+  SELECT 1 FROM faulty WHERE state <> 'resolved' GROUP BY site_id, incident_key HAVING COUNT(*) > 1)""".replace(
+        "faulty",
+        """(SELECT site_id, incident_key, start_time,
+    CASE WHEN incident_type = 'high_latency' THEN start_time - INTERVAL 1 HOUR ELSE end_time END AS ended,
+    CASE incident_type WHEN 'wifi_outage' THEN 'open' WHEN 'dns_failure' THEN 'closed' ELSE status END AS state
+    FROM incidents) AS faulty""",
+    ),
+    RULE_PAIRS,
+)
+def incident_constraints(spark, folder):
+    """Constraints of stored incidents, over all of them with faults of three kinds of incident."""
+    kind = F.col("incident_type")
+    early = F.col("start_time") - F.expr("INTERVAL 1 HOUR")
+    state = F.when(kind == "wifi_outage", "open").when(kind == "dns_failure", "closed")
+    rows = _incidents(_rules(spark, folder)).select(
+        "site_id", "incident_key", "start_time",
+        F.when(kind == "high_latency", early).otherwise(F.col("end_time")).alias("end_time"),
+        state.otherwise(F.col("status")).alias("status"),
+    )
+    rows = spark.read.schema(rows.schema).parquet(_landed(spark, rows, "faulty-incidents"))
+    clashes = Q.open_incident_clashes(rows).agg(F.count(F.lit(1)).alias("violations"))
+    return Q.violations(rows, "incidents", Q.incident_invariants()).unionByName(
+        clashes.select(
+            F.lit("incidents").alias("table_name"), F.lit("one_open").alias("rule_name"), "violations"
+        )
+    )
+
+
+@query(
+    "lifecycle_problems",
+    """SELECT 'missing state ' || s AS problem FROM (
+  SELECT unnest(['candidate', 'open', 'recovering', 'resolved']) AS s)
+WHERE s NOT IN (SELECT status FROM transitions WHERE incident_id IN (_last_))
+UNION ALL SELECT 'newest incident is not resolved' FROM incidents
+WHERE incident_id IN (_last_) AND (status <> 'resolved' OR end_time IS NULL)
+UNION ALL SELECT 'unpublished state events' FROM transitions WHERE state_revision > 1
+GROUP BY ALL HAVING COUNT(*) > 0""".replace(
+        "_last_",
+        "SELECT incident_id FROM incidents WHERE incident_type = 'wifi_outage'"
+        " ORDER BY start_time DESC, incident_id LIMIT 1",
+    ),
+    RULE_PAIRS,
+)
+def lifecycle_problems(spark, folder):
+    """The lifecycle report where only first revisions were published."""
+    t = _rules(spark, folder)
+    log = spark.read.parquet(_landed(spark, _state_log(t), "state-log"))
+    return Q.lifecycle_invariants(_incidents(t), log, _acks(log), "wifi_outage")
+
+
 @query(
     "ingest_problems",
     """SELECT 'no events of ' || agent_id AS problem FROM (
