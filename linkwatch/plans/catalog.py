@@ -1909,7 +1909,7 @@ def state_log_appended(spark, folder):
     """SELECT 'incidents' AS table_name, rule_name, violations FROM (
   SELECT COUNT(*) FILTER (ended < start_time) AS time_order,
     COUNT(*) FILTER ((state = 'resolved') <> (ended IS NOT NULL)) AS resolved_end,
-    COUNT(*) FILTER (state NOT IN ('candidate', 'open', 'recovering', 'resolved')) AS state
+    COUNT(*) FILTER (state NOT IN ('candidate', 'open', 'ongoing', 'recovering', 'resolved')) AS state
   FROM faulty) UNPIVOT (violations FOR rule_name IN (time_order, resolved_end, state))
 UNION ALL SELECT 'incidents', 'one_open', COUNT(*) FROM (
   SELECT 1 FROM faulty WHERE state <> 'resolved' GROUP BY site_id, incident_key HAVING COUNT(*) > 1)""".replace(
