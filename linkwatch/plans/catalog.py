@@ -1616,7 +1616,7 @@ def _stream_lifecycle(
 
     t = _rules(spark, folder)
     found = spark.read.parquet(_landed(spark, _findings(t), "findings"))
-    rows = tick_rows(found, _span(t), CFG)
+    rows = tick_rows(found, _span(t), CFG, held(t) if held else None)
     if held:
         made = rows.join(held(t), ["site_id", "tick_us"], "left_semi")
         landed = _landed_in_order(spark, made, "tick_us", files)
@@ -1674,7 +1674,8 @@ def _gap_parts() -> dict[str, str]:
         .replace("FROM fold", "FROM gap_fold")
         .replace("JOIN hits", "JOIN gap_hits"),
         "gap_steps": f"""
-  SELECT site_id, n, n - lag(n) OVER (PARTITION BY site_id ORDER BY n) - 1 AS gap FROM evaluated""",
+  SELECT site_id, n, n - coalesce(lag(n) OVER (PARTITION BY site_id ORDER BY n),
+    (SELECT MIN(n) FROM ticks) - 1) - 1 AS gap FROM evaluated""",
     }
 
 
@@ -1699,7 +1700,10 @@ def stream_lifecycle_gaps(spark, folder):
     extra=_gap_parts(),
 )
 def stream_lifecycle_losses(spark, folder):
-    """How many evaluations were missing before each one that followed a gap."""
+    """How many evaluations were missing before each one that followed a gap.
+
+    They are due from the first tick on, so those before a site's first one count.
+    """
     from linkwatch.streaming.lifecycle import losses_of
 
     return losses_of(
