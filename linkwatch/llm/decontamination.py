@@ -81,14 +81,39 @@ class Index:
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for words that are in no item."""
-        found = self.slot[(hashes & _U(len(self.slot) - 1)).astype(np.int64)]
-        return np.where((found >= 0) & (self.terms[found] == hashes), found, -1)
+        last = len(self.slot) - 1
+        at = (hashes & _U(last)).astype(np.int64)
+        found = self.slot[at]
+        # a place that another term has taken: the word may stand in one of the next
+        left = np.flatnonzero((found >= 0) & (self.terms[found] != hashes))
+        while len(left):
+            at[left] = (at[left] + 1) & last
+            found[left] = self.slot[at[left]]
+            left = left[(found[left] >= 0) & (self.terms[found[left]] != hashes[left])]
+        return found
 
 
 def _groups(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(windows(words, max(1, min(size, len(words)))))
 
 
+def _slots(terms: np.ndarray) -> np.ndarray:
+    """Term numbers by the last bits of their hashes, in the next free place each.
+
+    There are at least four and at most eight places a term.
+    """
+    slot = np.full(1 << max(10, (4 * len(terms)).bit_length()), -1, np.int32)
+    last = len(slot) - 1
+    at = (terms & _U(last)).astype(np.int64)
+    left = np.arange(len(terms))
+    while len(left):
+        free = left[slot[at[left]] < 0]
+        slot[at[free]] = free  # of terms that meet, one stays
+        left = left[slot[at[left]] != left]
+        at[left] = (at[left] + 1) & last
+    return slot
+
+
 def build_index(
     rows: list[tuple[int, bytes]],
     frequency: dict[bytes, int],
@@ -160,12 +185,7 @@ def build_index(
         blocks += best
         maxima += best.values()
         places.append(len(blocks))
-    bits = max(10, (4 * len(vocabulary)).bit_length())
     terms = hashes[order]
-    while len(np.unique(terms & _U((1 << bits) - 1))) < len(terms) and bits < 28:
-        bits += 1
-    slot = np.full(1 << bits, -1, np.int32)
-    slot[(terms & _U((1 << bits) - 1)).astype(np.int64)] = np.arange(len(terms))
     return Index(
         terms,
         postings,
@@ -177,7 +197,7 @@ def build_index(
         common,
         (np.array(places), np.array(blocks, np.int64), np.array(maxima, np.float64)),
         spare,
-        slot,
+        _slots(terms),
     )
 
 

@@ -142,3 +142,17 @@ def test_empty_tables(spark, docs_of):
     assert contaminated(docs_of([(1, "a b c")]), none).count() == 0
     some = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert clean_documents(docs_of([]), some).count() == 0
+
+
+def test_index_stays_small_and_finds_words_whose_places_meet(rng):
+    words = [f"w{n}" for n in range(20_000)]
+    rows = [(i, " ".join(words[i * 40 : i * 40 + 40])) for i in range(500)]
+    index = index_of(rows)
+    assert len(index.slot) <= 8 * len(words)
+    assert index.look_up(index.terms).tolist() == list(range(len(words)))
+    others = Words([" ".join(f"x{n}" for n in range(5_000)).encode()], plain=True).hash
+    assert (index.look_up(others) == -1).all()
+    same = np.arange(9, dtype=np.uint64) << np.uint64(40)  # one place for all of them
+    index.terms, index.slot = same, decontamination._slots(same)
+    assert index.look_up(same[::-1]).tolist() == list(range(9))[::-1]
+    assert index.look_up(same + np.uint64(1 << 60)).tolist() == [-1] * 9
