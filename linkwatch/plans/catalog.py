@@ -36,7 +36,7 @@ from linkwatch.operators import views as W
 from linkwatch.operators.windows import window_metrics
 from linkwatch.plans import oracle as O
 from linkwatch.plans.oracle import day, ts
-from linkwatch.session import configure, scratch_path
+from linkwatch.session import configure, landed, scratch_path
 from linkwatch.sources import sinks, versions
 from linkwatch.sources.tables import table
 from linkwatch.sources.telemetry import Telemetry
@@ -322,7 +322,9 @@ def dead_letters(spark, folder):
 
 def _failure_ledger(t: Telemetry) -> DataFrame:
     """First attempts, and a second one an hour later at even offsets."""
-    letters = I.dead_letters(_referenced(t), now=NOW, keep=("kafka_timestamp",))
+    letters = landed(
+        I.dead_letters(_referenced(t), now=NOW, keep=("kafka_timestamp",)), "dead-letters"
+    )
     first = I.fresh_failures(letters, F.col("kafka_timestamp"))
     again = I.fresh_failures(
         letters.where(F.col("source_offset") % 2 == 0).withColumn(
@@ -439,6 +441,11 @@ def _transitions(t: Telemetry) -> DataFrame:
     return L.lifecycle(_findings(t), _span(t), CFG)
 
 
+def _stored_transitions(t: Telemetry) -> DataFrame:
+    """Transitions computed once, for queries that read them several times."""
+    return landed(_transitions(t), "transitions")
+
+
 def _rules(spark, folder) -> Telemetry:
     return Telemetry(spark, folder, RULE_PAIRS)
 
@@ -527,8 +534,8 @@ def incident_transitions(spark, folder):
     return _transitions(_rules(spark, folder)).select(*_TRANSITION_COLUMNS)
 
 
-def _incidents(t: Telemetry) -> DataFrame:
-    return L.incident_state(_transitions(t))
+def _incidents(t: Telemetry, transitions: DataFrame | None = None) -> DataFrame:
+    return L.incident_state(_transitions(t) if transitions is None else transitions)
 
 
 @query(
@@ -589,8 +596,8 @@ def active_incidents_at_noon(spark, folder):
     )
 
 
-def _state_log(t: Telemetry) -> DataFrame:
-    return L.state_log(L.incident_events(_transitions(t)))
+def _state_log(t: Telemetry, transitions: DataFrame | None = None) -> DataFrame:
+    return L.state_log(L.incident_events(_transitions(t) if transitions is None else transitions))
 
 
 def _acks(log: DataFrame) -> DataFrame:
@@ -735,8 +742,8 @@ def bridge_incident_endpoint(spark, folder):
 # --- views ----------------------------------------------------------------------------
 
 
-def _incident_view(t: Telemetry) -> DataFrame:
-    incidents = _incidents(t)
+def _incident_view(t: Telemetry, transitions: DataFrame | None = None) -> DataFrame:
+    incidents = landed(_incidents(t, transitions), "incidents")
     return W.incident_summary(
         D.incident_fact(incidents),
         D.bridge(incidents, "affected_agents", "agent_id"),
@@ -772,15 +779,17 @@ def agent_status(spark, folder):
 _BATCHES_SQL = "SELECT CAST(MAX(event_time) AS TIMESTAMP) AS completed_at FROM base"
 
 
-def _ingest_status(t: Telemetry) -> DataFrame:
-    log = _state_log(t)
+def _ingest_status(t: Telemetry, transitions: DataFrame | None = None) -> DataFrame:
+    if transitions is None:
+        transitions = _stored_transitions(t)
+    log = _state_log(t, transitions)
     batches = t.base.groupBy(F.to_date("event_time").alias("d")).agg(
         F.max("event_time").alias("completed_at")
     )
     failures = _failure_ledger(t)
     _, stream = V.split(_measurement_records(t), now=NOW)
     return W.pipeline_status(
-        t.raw_log, failures, stream, batches, _incidents(t), log, _acks(log), NOW
+        t.raw_log, failures, stream, batches, _incidents(t, transitions), log, _acks(log), NOW
     )
 
 
@@ -1825,8 +1834,10 @@ def csv_roundtrip(spark, folder):
     """The four extracts written, promoted, and read back for verification."""
     t = _rules(spark, folder)
     out = scratch_path(spark, "extracts")
-    incidents = spark.read.parquet(_landed(spark, _incident_view(t), "incident-view"))
-    extracts = X.export_bundle(_role_rows(t), incidents, _ingest_status(t))
+    transitions = _stored_transitions(t)
+    incidents = landed(_incident_view(t, transitions), "incident-view")
+    daily = landed(_role_rows(t), "role-rows")
+    extracts = X.export_bundle(daily, incidents, _ingest_status(t, transitions))
     versions.publish_folders(spark, out, lambda folder: sinks.write_csv(extracts, folder))
     return sinks.verify_csv(spark, versions.bundle_folder(spark, out))
 
@@ -1962,8 +1973,10 @@ GROUP BY ALL HAVING COUNT(*) > 0""".replace(
 def lifecycle_problems(spark, folder):
     """The lifecycle report where only first revisions were published."""
     t = _rules(spark, folder)
-    log = spark.read.parquet(_landed(spark, _state_log(t), "state-log"))
-    return Q.lifecycle_invariants(_incidents(t), log, _acks(log), "wifi_outage")
+    transitions = _stored_transitions(t)
+    incidents = landed(_incidents(t, transitions), "incidents")
+    log = landed(_state_log(t, transitions).drop("payload"), "state-log")
+    return Q.lifecycle_invariants(incidents, log, _acks(log), "wifi_outage")
 
 
 @query(
