@@ -107,15 +107,20 @@ class LifecycleProcessor(StatefulProcessor):
         key = T.StructType([T.StructField("incident_key", T.StringType())])
         tick = T.StructType([T.StructField("tick_us", T.LongType())])
         waiting = T.StructType(
-            [T.StructField("first_us", T.LongType()), T.StructField("findings", T.StringType())]
+            [
+                T.StructField("tick_us", T.LongType()),
+                T.StructField("first_us", T.LongType()),
+                T.StructField("findings", T.StringType()),
+            ]
         )
         self._handle = handle
         self._active = handle.getMapState("active", key, _STATE)
-        self._waiting = handle.getMapState("waiting", tick, waiting)
+        # a list is read and written as a whole; each entry of a map would be a request
+        self._waiting = handle.getListState("waiting", waiting)
         self._last = handle.getValueState("last_tick", tick)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        last = self._last.get()[0] if self._last.exists() else None
+        last, held = self._last_taken(), self._held()
         come: dict[int, tuple[int, str]] = {}
         repeated = 0
         for frame in rows:
@@ -123,23 +128,27 @@ class LifecycleProcessor(StatefulProcessor):
                 frame["tick_us"], frame["first_us"], frame["findings"]
             ):
                 tick = int(tick)
-                if tick in come or (last is not None and tick <= last):
-                    repeated += 1
-                elif self._waiting.containsKey((tick,)):
+                if tick in come or tick in held or (last is not None and tick <= last):
                     repeated += 1
                 else:
                     come[tick] = (int(first), findings)
-        yield from self._taken(key[0], come, repeated, timerValues)
+        yield from self._taken(key[0], last, held, come, repeated, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._taken(key[0], {}, 0, timerValues)
+        yield from self._taken(key[0], self._last_taken(), self._held(), {}, 0, timerValues)
+
+    def _last_taken(self) -> int | None:
+        return self._last.get()[0] if self._last.exists() else None
+
+    def _held(self) -> dict[int, tuple[int, str]]:
+        return {tick: (first, findings) for tick, first, findings in self._waiting.get()}
 
-    def _taken(self, site: str, come: dict, repeated: int, timerValues) -> Iterator[pd.DataFrame]:
+    def _taken(
+        self, site: str, last: int | None, held: dict, come: dict, repeated: int, timerValues
+    ) -> Iterator[pd.DataFrame]:
         """Take what is in order, counting new arrivals in, and wait for the rest."""
         # nothing before this can come any more; in micro-seconds
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        last = self._last.get()[0] if self._last.exists() else None
-        held = {k[0]: tuple(v) for k, v in self._waiting.iterator()}
         stored = set(held)
         held.update(come)
         active = {k[0]: tuple(v) for k, v in self._active.iterator()}
@@ -161,10 +170,12 @@ class LifecycleProcessor(StatefulProcessor):
             del held[tick]
             last = tick
             out += [(STATE, *row) for row in self._advance(site, tick, _decode(findings), active)]
-        for tick in stored - held.keys():
-            self._waiting.removeKey((tick,))
-        for tick in held.keys() - stored:
-            self._waiting.updateValue((tick,), held[tick])
+        new = [(tick, *held[tick]) for tick in sorted(held.keys() - stored)]
+        if stored - held.keys():
+            rest = [(tick, *held[tick]) for tick in sorted(held)]
+            self._waiting.put(rest) if rest else self._waiting.clear()
+        elif new:
+            self._waiting.appendList(new)
         for name in before.keys() - active.keys():
             self._active.removeKey((name,))
         for name, state in active.items():
