@@ -1,11 +1,15 @@
 """Ranked lexical search of many items over all documents by presence masks.
 
-A block of documents has a bitmap per term.  For one item, bitmap operations
-split the block's documents into groups that hold the same of its terms.  A
-group's mask has a largest possible score: the sum of its terms' largest
-impacts in the block.  Groups that cannot reach the item's 50th score so far
-are dropped while they are split; the rest is evaluated by descending largest
-score, until no group left can reach it.
+Texts are read and split once: each document's occurrences of the items' terms
+are written as a row of two lists, which both the corpus figures and the search
+read.
+
+A block of documents has a bitmap per term.  For one item, the bitmaps tell
+which of its terms a document holds, its presence mask; documents with the same
+mask are a group.  A group's mask has a largest possible score: the sum of its
+terms' largest impacts in the block.  Groups that cannot reach the item's 50th
+score so far are dropped; the rest is evaluated by descending largest score,
+until no group left can reach it.
 """
 
 from __future__ import annotations
@@ -13,15 +17,23 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkwatch.llm.common import landed
+from linkwatch.session import scratch_path
+from linkwatch.sources import files
+
 # the first block of a task is small: it sets the scores the next ones have to reach
 FIRST_BLOCK = 128
 BLOCK = 2048
+SPLIT = 512  # texts that are split at a time, which bounds memory
 SALTS = 32
 SHARD_BYTES = 8 << 20
 
@@ -39,84 +51,82 @@ def terms_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TERMS).split() if text else []
 
 
-class _Numbers(dict):
-    """Term numbers; -1 for a term of no item."""
-
-    def __missing__(self, term: bytes) -> int:
-        return -1
-
-
 @dataclass
 class Shard:
-    """Items searched together: their term numbers, and weights once those are known."""
+    """Items searched together: their terms by number, and weights once those are known."""
 
-    numbers: _Numbers
+    terms: pa.StringArray
     items: list[list[int]]
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     n_docs: int = 0
     n_terms: int = 0
 
 
+def _strings(texts: list[bytes]) -> pa.StringArray:
+    """Bytes that need not be valid UTF-8 as Arrow strings."""
+    return pa.array(texts, pa.binary()).view(pa.string())
+
+
 def build_shard(texts: list[bytes]) -> Shard:
-    numbers, items = _Numbers(), []
+    numbers: dict[bytes, int] = {}
+    items = []
     for text in texts:
         own = dict.fromkeys(terms_of(text))
-        for t in own:
-            if t not in numbers:
-                numbers[t] = len(numbers)
-        items.append([numbers[t] for t in own])
-    return Shard(numbers, items)
+        items.append([numbers.setdefault(t, len(numbers)) for t in own])
+    return Shard(_strings(list(numbers)), items)
 
 
 def weight(n_docs: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
 
 
-def _postings(shard: Shard, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+def _postings(
+    shard: Shard, texts: list[bytes | None]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, term and occurrences of a block, by document and term; and all lengths."""
-    size = len(shard.numbers)
-    keys, lengths = [np.zeros(0, np.int64)], []
-    for d, text in enumerate(texts):
-        words = terms_of(text)
-        lengths.append(len(words))
-        if words and size:
-            found = np.fromiter(map(shard.numbers.__getitem__, words), np.int64, len(words))
-            keys.append(found[found >= 0] + d * size)
-    found, tf = np.unique(np.concatenate(keys), return_counts=True)
-    return found // max(size, 1), found % max(size, 1), tf.astype(np.int64), lengths
-
-
-def document_counts(docs: DataFrame, shard: Shard) -> DataFrame:
-    """(term, n): documents holding each term of the shard; -1 counts documents, -2 all terms."""
+    plain = _strings([t.translate(_TERMS).strip() if t else b"" for t in texts])
+    words = pc.ascii_split_whitespace(plain)
+    # without a term, the list has one empty string
+    lengths = pc.list_value_length(words).to_numpy() - (pc.binary_length(plain).to_numpy() == 0)
+    doc = pc.list_parent_indices(words).to_numpy()
+    found = pc.index_in(words.flatten(), value_set=shard.terms).fill_null(-1).to_numpy()
+    held = found >= 0
+    size = max(len(shard.terms), 1)
+    keys, tf = np.unique(doc[held] * size + found[held], return_counts=True)
+    return keys // size, keys % size, tf, lengths
+
+
+def postings(docs: DataFrame, shard: Shard) -> DataFrame:
+    """A row a document: all its terms (n), and the terms of the shard it holds with occurrences."""
     shared = docs.sparkSession.sparkContext.broadcast(shard)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        df = np.zeros(len(own.numbers), np.int64)
-        n_docs = n_terms = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                texts = batch.column(0).slice(at, BLOCK).cast(pa.binary()).to_pylist()
-                _, term, _, lengths = _postings(own, texts)
-                df += np.bincount(term, minlength=len(df))
-                n_docs += sum(map(bool, lengths))
-                n_terms += sum(lengths)
-        held = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[-1, -2, held]), pa.array(np.r_[n_docs, n_terms, df[held]])],
-            names=["term", "n"],
-        )
-
-    rows = docs.select("text").mapInArrow(build, "term long, n long")
-    return rows.groupBy("term").agg(F.sum("n").alias("n"))
-
-
-def weighted(docs: DataFrame, shard: Shard) -> Shard:
+            for at in range(0, batch.num_rows, SPLIT):
+                rows = batch.slice(at, SPLIT)
+                texts = rows.column(1).cast(pa.binary()).to_pylist()
+                doc, term, tf, lengths = _postings(shared.value, texts)
+                first = pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)), pa.int32())
+                lists = [
+                    pa.ListArray.from_arrays(first, pa.array(x, pa.int32())) for x in (term, tf)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(lengths, pa.int64()), *lists],
+                    names=["doc_id", "n", "terms", "tf"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(build, "doc_id long, n long, terms array<int>, tf array<int>")
+
+
+def weighted(rows: DataFrame, shard: Shard) -> Shard:
     """The shard with the corpus figures; the driver gets one number per term of the shard."""
-    n = {r.term: r.n for r in document_counts(docs, shard).collect()}
-    shard.n_docs, shard.n_terms = n.get(-1, 0), n.get(-2, 0)
+    totals = rows.agg(F.count_if(F.col("n") > 0), F.sum("n")).first()
+    shard.n_docs, shard.n_terms = totals[0], totals[1] or 0
+    counts = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*"))
+    df = dict(map(tuple, counts.collect()))
     shard.weights = np.array(
-        [weight(shard.n_docs, n.get(t, 0)) for t in range(len(shard.numbers))], np.int64
+        [weight(shard.n_docs, df.get(t, 0)) for t in range(len(shard.terms))], np.int64
     )
     return shard
 
@@ -142,117 +152,135 @@ class Best:
 
 @dataclass
 class Block:
-    """Impacts of a block's documents by document, and bitmaps and largest impacts by term."""
+    """By term: the block's documents that hold it, their impacts, its bitmap and largest impact."""
 
     ids: np.ndarray
-    first: np.ndarray
-    term: np.ndarray
-    impact: np.ndarray
+    docs: dict[int, np.ndarray]
+    impacts: dict[int, np.ndarray]
     bitmap: dict[int, int]
     largest: dict[int, int]
 
-    def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Exact scores of documents that each hold a term; ``weights`` is 0 for other terms."""
-        a, n = self.first[docs], self.first[docs + 1] - self.first[docs]
-        starts = np.cumsum(n) - n
-        at = np.repeat(a - starts, n) + np.arange(n.sum())
-        return np.add.reduceat(weights[self.term[at]] * self.impact[at], starts)
-
-
-def build_block(shard: Shard, ids: np.ndarray, texts: list[bytes | None]) -> Block:
-    doc, term, tf, lengths = _postings(shard, texts)
-    total = max(shard.n_terms, 1)
-    m = np.array([50 + 50 * n * shard.n_docs // total for n in lengths], np.int64)
+    def sums(self, terms: list[int], values: np.ndarray) -> np.ndarray:
+        """By document, the sum of ``values``: one for each document of each of the terms."""
+        out = np.zeros(len(self.ids), np.int64)
+        np.add.at(out, np.concatenate([self.docs[t] for t in terms]), values)
+        return out
+
+    def scores(
+        self, docs: np.ndarray, weights: np.ndarray, terms: list[int] | None = None
+    ) -> np.ndarray:
+        """Exact scores of documents for ``terms``, or for all terms with a weight."""
+        terms = [t for t in (self.docs if terms is None else terms) if t in self.docs]
+        return self.sums(terms, np.concatenate([weights[t] * self.impacts[t] for t in terms]))[docs]
+
+
+def block_of(
+    shard: Shard,
+    ids: np.ndarray,
+    doc: np.ndarray,
+    term: np.ndarray,
+    tf: np.ndarray,
+    lengths: np.ndarray,
+) -> Block:
+    """The block of postings that come by document and term."""
+    m = 50 + 50 * lengths.astype(np.int64) * shard.n_docs // max(shard.n_terms, 1)
     impact = 1_000_000_000 * tf // (1000 * tf + 20 * m[doc])
     order = np.argsort(term, kind="stable")
+    doc, impact = doc[order], impact[order]
     held, starts = np.unique(term[order], return_index=True)
-    bitmap, largest = {}, {}
-    if len(held):
-        local = np.repeat(np.arange(len(held)), np.diff(np.r_[starts, len(term)]))
-        width = -(-len(texts) // 8)
-        bits = np.zeros(len(held) * width, np.uint8)
-        by_term = doc[order]
-        np.bitwise_or.at(bits, local * width + (by_term >> 3), (1 << (by_term & 7)).astype(np.uint8))
-        raw = bits.tobytes()
-        most = np.maximum.reduceat(impact[order], starts).tolist()
-        for i, t in enumerate(held.tolist()):
-            bitmap[t] = int.from_bytes(raw[i * width : (i + 1) * width], "little")
-            largest[t] = most[i]
-    first = np.searchsorted(doc, np.arange(len(texts) + 1))
-    return Block(ids, first, term, impact, bitmap, largest)
+    block = Block(ids, {}, {}, {}, {})
+    if not len(held):
+        return block
+    ends = np.r_[starts[1:], len(term)]
+    width = -(-len(ids) // 8)
+    bits = np.zeros(len(held) * width, np.uint8)
+    local = np.repeat(np.arange(len(held)), ends - starts)
+    np.bitwise_or.at(bits, local * width + (doc >> 3), (1 << (doc & 7)).astype(np.uint8))
+    raw = bits.tobytes()
+    most = np.maximum.reduceat(impact, starts).tolist()
+    for i, (t, a, b) in enumerate(zip(held.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+        block.docs[t], block.impacts[t] = doc[a:b], impact[a:b]
+        block.bitmap[t] = int.from_bytes(raw[i * width : (i + 1) * width], "little")
+        block.largest[t] = most[i]
+    return block
+
+
+def build_block(shard: Shard, ids: np.ndarray, texts: list[bytes | None]) -> Block:
+    return block_of(shard, ids, *_postings(shard, texts))
+
+
+def _unpacked(bitmaps: list[int], n_docs: int) -> np.ndarray:
+    """A row of 0 and 1 a bitmap."""
+    width = -(-n_docs // 8)
+    raw = b"".join([b.to_bytes(width, "little") for b in bitmaps])
+    rows = np.frombuffer(raw, np.uint8).reshape(len(bitmaps), width)
+    return np.unpackbits(rows, axis=1, count=n_docs, bitorder="little")
 
 
 def masks(block: Block, terms: list[tuple[int, int]], least: int, n_docs: int) -> list[tuple[int, int]]:
     """(largest score, bitmap) of every presence mask that can reach ``least``.
 
-    ``terms`` are numbers with weights.  Terms with the largest scores split
-    first, so groups that lack them end early.
+    ``terms`` are numbers with weights.  Largest scores are summed for all
+    documents at once; only those that can reach ``least`` are grouped.
     """
-    gains = sorted(((w * block.largest[t], t) for t, w in terms if t in block.bitmap), reverse=True)
-    rest = [0]
-    for gain, _ in reversed(gains):
-        rest.append(rest[-1] + gain)
-    rest.reverse()
-    groups = [(0, (1 << n_docs) - 1)]
-    for (gain, t), left in zip(gains, rest[1:], strict=True):
-        bits, split = block.bitmap[t], []
-        for score, group in groups:
-            hit = group & bits
-            if hit:
-                if score + gain + left >= least:
-                    split.append((score + gain, hit))
-                group ^= hit
-            if group and score + left >= least:
-                split.append((score, group))
-        groups = split
-        if not groups:
-            break
-    return [g for g in groups if g[0] >= least]
+    held = [t for t, _ in terms if t in block.bitmap]
+    if not held:
+        return []
+    gains = [w * block.largest[t] for t, w in terms if t in block.bitmap]
+    most = block.sums(held, np.repeat(gains, [len(block.docs[t]) for t in held]))
+    docs = np.flatnonzero(most >= least)
+    present = _unpacked([block.bitmap[t] for t in held], n_docs)[:, docs].T.tobytes()
+    groups: dict[tuple[int, bytes], int] = {}
+    starts = range(0, len(present), len(held))
+    for doc, score, start in zip(docs.tolist(), most[docs].tolist(), starts, strict=True):
+        mask = (score, present[start : start + len(held)])
+        groups[mask] = groups.get(mask, 0) | 1 << doc
+    return [(score, group) for (score, _), group in groups.items()]
 
 
 def search_block(block: Block, terms: list[tuple[int, int]], weights: np.ndarray, best: Best) -> None:
     """Evaluate masks by descending largest score until the item's list is safe."""
     n_docs = len(block.ids)
-    held: list[tuple[int, int]] = sorted(masks(block, terms, best.least, n_docs), reverse=True)
+    held = sorted(masks(block, terms, best.least, n_docs), key=lambda m: m[0], reverse=True)
+    numbers = [t for t, _ in terms]
     at = 0
     while at < len(held) and held[at][0] >= best.least:
-        group = 0
-        until = at
-        # masks until the list can be full: a score they reach may end the search
-        while until < len(held) and group.bit_count() < best.k:
-            group |= held[until][1]
-            until += 1
-        raw = np.frombuffer(group.to_bytes(-(-n_docs // 8), "little"), np.uint8)
-        docs = np.flatnonzero(np.unpackbits(raw, bitorder="little"))
-        best.add(block.scores(docs, weights), block.ids[docs])
+        # a list that is not full first takes as many masks as fill it: a score they
+        # reach may end the search
+        until = len(held) if len(best.doc) == best.k else at + best.k
+        group = reduce(or_, [bits for most, bits in held[at:until] if most >= best.least])
+        docs = np.flatnonzero(_unpacked([group], n_docs)[0])
+        best.add(block.scores(docs, weights, numbers), block.ids[docs])
         at = until
 
 
 LAST = (1 << 63) - 1  # stands for a null id, which comes last
 
 
-def partial_ranks(docs: DataFrame, shard: Shard, k: int) -> DataFrame:
-    """The best ``k`` documents of each item within each task."""
-    shared = docs.sparkSession.sparkContext.broadcast(shard)
+def partial_ranks(rows: DataFrame, shard: Shard, k: int) -> DataFrame:
+    """The best ``k`` documents of each item within each task, from rows of postings."""
+    shared = rows.sparkSession.sparkContext.broadcast(shard)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         best = [Best(k) for _ in own.items]
-        terms = [[(t, int(own.weights[t])) for t in item if own.weights[t]] for item in own.items]
+        items = [[(t, int(own.weights[t])) for t in item if own.weights[t]] for item in own.items]
         size = FIRST_BLOCK
         for batch in batches:
             at = 0
             while at < batch.num_rows:
-                rows = batch.slice(at, size)
+                ids, n, terms, tf = batch.slice(at, size).columns
                 at, size = at + size, min(BLOCK, 2 * size)
-                ids = rows.column(0).fill_null(LAST).to_numpy(zero_copy_only=False)
-                block = build_block(own, ids, rows.column(1).cast(pa.binary()).to_pylist())
-                weights = np.zeros(len(own.numbers), np.int64)
-                for item, found in enumerate(terms):
-                    numbers = [t for t, _ in found]
-                    weights[numbers] = own.weights[numbers]
-                    search_block(block, found, weights, best[item])
-                    weights[numbers] = 0
+                block = block_of(
+                    own,
+                    ids.fill_null(LAST).to_numpy(),
+                    np.repeat(np.arange(len(ids)), pc.list_value_length(terms).to_numpy()),
+                    terms.flatten().to_numpy(),
+                    tf.flatten().to_numpy().astype(np.int64),
+                    n.to_numpy(),
+                )
+                for found, top in zip(items, best, strict=True):
+                    search_block(block, found, own.weights, top)
         for item, x in enumerate(best):
             if len(x.doc):
                 yield pa.RecordBatch.from_arrays(
@@ -264,7 +292,6 @@ def partial_ranks(docs: DataFrame, shard: Shard, k: int) -> DataFrame:
                     names=["item", "doc_id", "score"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(build, "item long, doc_id long, score long")
 
 
@@ -298,18 +325,25 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 50, shard_bytes: int = SH
     with fewer documents above 0 gets those.  Empty tables give no rows.
 
     Items are sent to the executors in shards of at most ``shard_bytes`` of text
-    (a single longer item is a shard); a larger table has more of them.
+    (a single longer item is a shard); a larger table has more of them.  ``docs``
+    is read once a shard.  The result is read from a table of its own; the rows of
+    postings a shard was searched in are deleted.
     """
     spark = docs.sparkSession
     out = None
     for ids, shard in shards(items, shard_bytes):
-        found = partial_ranks(docs, weighted(docs, shard), k)
+        path = scratch_path(spark, "item-postings")
+        rows = postings(docs, shard)
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        found = partial_ranks(rows, weighted(rows, shard), k)
         # a task gives k rows an item at most; many tasks are first cut down by salt
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
         cut = best_rows(found.select("*", salt), k, "item", "salt").drop("rank", "salt")
         names = spark.createDataFrame(list(enumerate(ids)), f"item long, item_id {items.schema['item_id'].dataType.simpleString()}")
         top = best_rows(cut, k, "item").join(names.hint("broadcast"), "item")
-        top = top.select("item_id", "rank", "doc_id", "score")
+        top = landed(top.select("item_id", "rank", "doc_id", "score"), "item-ranks")
+        files.delete(spark, path)
         out = top if out is None else out.unionByName(top)
     if out is None:
         kind = items.schema["item_id"].dataType.simpleString()

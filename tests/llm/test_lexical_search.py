@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from linkwatch.llm import lexical_search
-from linkwatch.llm.lexical_search import Best, build_block, build_shard, masks, ranked, search_block
+from linkwatch.llm.lexical_search import Best, build_block, build_shard, masks, postings, ranked, search_block
+from linkwatch.session import shared_dir
 from tests.llm.conftest import ODD_TEXTS
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -108,3 +110,34 @@ def test_masks_partition_the_block(rng, least):
     search_block(block, terms_of_item, shard.weights, best)
     want = sorted((-s, d) for d, s in scores.items())[:5]
     assert list(zip((-best.score).tolist(), best.doc.tolist(), strict=True)) == want
+
+
+def test_texts_are_read_once(spark, docs_of, rng):
+    texts_read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        texts_read.add(1)
+        return text
+
+    docs, items = corpus(rng, 60) + [(60, None), (61, "")], corpus(rng, 5)
+    table = docs_of(docs).withColumn("text", F.udf(counted, "string")("text"))
+    found = ranked(table, spark.createDataFrame(items, ITEMS))
+    assert result(found) == result(found) == brute(docs, items)
+    assert texts_read.value == len(docs)
+
+
+def test_postings_hold_the_terms_of_items_and_all_lengths(docs_of):
+    docs = list(enumerate([*ODD_TEXTS, " a\x00B--b a.", "\u00a0a b\u2028", "a\x1fb\x7fz"]))
+    own = ["one", "wörd", "a", "b", "e"]
+    rows = postings(docs_of(docs), build_shard([" ".join(own).encode()])).collect()
+    got = {r.doc_id: (r.n, {own[t]: n for t, n in zip(r.terms, r.tf, strict=True)}) for r in rows}
+    count = {d: Counter(terms(t)) for d, t in docs}
+    assert len(rows) == len(docs)
+    assert got == {d: (c.total(), {t: n for t, n in c.items() if t in own}) for d, c in count.items()}
+
+
+def test_no_postings_stay_behind(spark, docs_of, rng):
+    items = spark.createDataFrame(corpus(rng, 9), ITEMS)
+    before = set(Path(shared_dir(spark)).glob("item-postings-*"))
+    assert ranked(docs_of(corpus(rng, 30)), items, k=3, shard_bytes=400).count() == 27
+    assert set(Path(shared_dir(spark)).glob("item-postings-*")) == before
